@@ -57,8 +57,8 @@ def _row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def table_inventory(spark: SparkSession, tables: dict[str, DataFrame], keys: dict[str, list[str]]) -> DataFrame:
     """Per table: rows, columns and key columns ('rowid' without one)."""
-    facts = constant_frame(spark, 
-        [(name, len(df.columns), ", ".join(keys.get(name, [])) or "rowid") for name, df in tables.items()],
+    facts = constant_frame(
+        spark, [(name, len(df.columns), ", ".join(keys.get(name, [])) or "rowid") for name, df in tables.items()],
         "table string, columns long, primary_key string",
     )
     # one row per table of the catalog on either side

@@ -52,6 +52,16 @@ def bag_difference(gold: DataFrame, predicted: DataFrame) -> DataFrame:
     )
 
 
+def bag_equal(gold: DataFrame, predicted: DataFrame) -> DataFrame:
+    """Per question: gold rows missing, rows too many, and whether the bags are equal."""
+    rows = _both(gold, predicted).groupBy("question_id", "row").agg(F.sum("side").alias("surplus"))
+    return rows.groupBy("question_id").agg(
+        F.sum(F.greatest("surplus", F.lit(0))).alias("missing_rows"),
+        F.sum(F.greatest(-F.col("surplus"), F.lit(0))).alias("extra_rows"),
+        F.every(F.col("surplus") == 0).alias("equal"),
+    )
+
+
 def cell_facts(gold: DataFrame, predicted: DataFrame) -> DataFrame:
     """Per question: distinct gold cells, distinct predicted cells, gold cells not predicted."""
     cells = (
@@ -107,7 +117,7 @@ def accuracy_rollup(results: DataFrame) -> DataFrame:
         .select(
             F.when(F.col("all_levels") == 1, "OVERALL").otherwise(F.col("level")).alias("level"),
             "correct", "total",
-            F.round(100 * F.col("correct") / F.col("total"), 1).alias("percent"),
+            F.round(F.try_divide(100 * F.col("correct"), F.col("total")), 1).alias("percent"),
         )
         .where("total > 0")
     )
@@ -132,8 +142,8 @@ def recall_and_rank(ranks: DataFrame, k: int) -> DataFrame:
     return ranks.agg(
         F.count("*").alias("expected"),
         F.count("rank").alias("found"),
-        (F.count_if(F.col("rank") <= k) / F.count("*")).alias("recall"),
-        (F.sum("rank") / F.count("rank")).alias("mean_rank"),
+        F.try_divide(F.count_if(F.col("rank") <= k), F.count("*")).alias("recall"),
+        F.try_divide(F.sum("rank"), F.count("rank")).alias("mean_rank"),
     )
 
 
@@ -164,7 +174,7 @@ def threshold_sweep(decisions: DataFrame, step: float = 0.01) -> DataFrame:
     right = F.sum("answerable").over(upto) + refused - F.sum("unanswerable").over(upto)
     return grid.where("step IS NOT NULL").select(
         (F.col("step") / scale).alias("threshold"), right.alias("right"), total.alias("questions"),
-        (right / total).alias("accuracy"),
+        F.try_divide(right, total).alias("accuracy"),
     )
 
 
@@ -189,7 +199,7 @@ def ablation_compare(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def ablation_summary(comparison: DataFrame) -> DataFrame:
     """Per level: accuracy of both runs, their difference, and the numbers fixed and broken."""
-    share = lambda c: 100 * F.count_if(c) / F.count(c)
+    share = lambda c: F.try_divide(100 * F.count_if(c), F.count(c))
     return comparison.groupBy("level").agg(
         F.count("*").alias("questions"),
         F.round(share(F.col("before")), 1).alias("before"),
@@ -206,7 +216,7 @@ def run_log_stats(log: DataFrame) -> DataFrame:
         F.count("*").alias("questions"),
         F.count_if(F.col("correct") == 1).alias("correct"),
         F.count_if(F.coalesce(F.col("error"), F.lit("")) != "").alias("errors"),
-        (F.sum("tokens") / F.count("tokens")).alias("mean_tokens"),
-        (F.sum("ms") / F.count("ms")).alias("mean_ms"),
+        F.try_divide(F.sum("tokens"), F.count("tokens")).alias("mean_tokens"),
+        F.try_divide(F.sum("ms"), F.count("ms")).alias("mean_ms"),
         F.max("ms").alias("max_ms"),
     )

@@ -79,7 +79,7 @@ def nearest(
     queries = queries.select(F.col("query_id").cast("long").alias("query_id"), "vector")
     size = queries.agg(F.count("*").alias("rows"), F.max(F.size("vector")).alias("width")).first()
     if size["rows"] == 0:
-        return constant_frame(queries.sparkSession, [], HIT + ", rank int")
+        return constant_frame(queries.sparkSession, [], HIT + ", rank long")
     if size["rows"] * size["width"] <= broadcast_values:
         hits = _by_broadcast(corpus, queries, n, exclude_self)
     else:
@@ -162,7 +162,8 @@ def _by_cells(corpus: DataFrame, queries: DataFrame, n: int, exclude_self: bool,
     query_vector = queries.schema["vector"].dataType.simpleString()
     routed = written_table(queries.mapInArrow(route, f"query_id long, vector {query_vector}, cell int"), "routes")
     asked = {row["cell"]: row["count"] for row in routed.groupBy("cell").count().collect()}
-    plan = constant_frame(spark, 
+    plan = constant_frame(
+        spark,
         [
             (row["cell"], -(-row["items"] // block_rows), -(-asked[row["cell"]] // block_rows))
             for row in facts if row["cell"] in asked

@@ -11,7 +11,7 @@ from ..functions import vocab
 from ..functions.text import normalize_question, tokenize
 from ..session import broadcast_if_small, constant_frame, written_table
 from .nearest import nearest
-from .ordering import enumerate_rows, populated_first
+from .ordering import enumerate_rows, populated_first, top_per_group
 
 PLACES = 6
 QUERY_TERMS_BROADCAST = 500_000
@@ -48,7 +48,7 @@ def bm25_index(corpus: DataFrame) -> Bm25Index:
     counted = written_table(counts.withColumn("raw_idf", raw_idf), "terms")
     floor = vocab.BM25_EPSILON * counted.agg(F.avg("raw_idf")).scalar()
     terms = counted.withColumn("idf", F.when(F.col("raw_idf") < 0, floor).otherwise(F.col("raw_idf")))
-    average = counted.agg(F.sum("cf")).scalar() / documents
+    average = F.try_divide(counted.agg(F.sum("cf")).scalar(), documents)
     return Bm25Index(postings, terms, documents, average)
 
 
@@ -81,7 +81,7 @@ def bm25_score(index: Bm25Index, queries: DataFrame) -> DataFrame:
 
 def scale(value: Column, low: Column, high: Column) -> Column:
     """Min-max to 0..1; if all values are equal, 0 for zeros and 1 for anything else."""
-    return F.when(high == low, F.when(high == 0, 0.0).otherwise(1.0)).otherwise((value - low) / (high - low))
+    return F.when(high == low, F.when(high == 0, 0.0).otherwise(1.0)).otherwise(F.try_divide(value - low, high - low))
 
 
 def minmax_normalize(scores: DataFrame, group: str = "query_id", value: str = "score", out: str = "normalized") -> DataFrame:
@@ -231,7 +231,7 @@ def vector_hits(
     k = k or vocab.TOP_K_TABLES
     total = vectors.count()
     if total == 0:
-        return constant_frame(vectors.sparkSession, [], "query_id long, item_id long, distance double, empty boolean, rank int")
+        return constant_frame(vectors.sparkSession, [], "query_id long, item_id long, distance double, empty boolean, rank long")
     fetched = nearest(vectors, queries, min(3 * k, 40, total), exclude_self).drop("rank")
     return populated_first(with_empty_flag(fetched, empty_items), "query_id", k, F.asc("distance"))
 
@@ -275,8 +275,8 @@ def retrieve_values(values: DataFrame, queries: DataFrame, allowed: DataFrame, k
     total = values.count()
     fetched = nearest(values.select("item_id", "vector"), queries, min(max(4 * k, 10), max(total, 1)), exclude_self).drop("rank")
     described = fetched.join(values.drop("vector"), "item_id")
-    window = Window.partitionBy("query_id").orderBy("distance", "item_id")
-    return allowed_only(described, allowed, "table").withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
+    kept = allowed_only(described, allowed, "table")
+    return top_per_group(kept, "query_id", [F.asc("distance"), F.asc("item_id")], k)
 
 
 def match_saved_answers(questions: DataFrame, saved: DataFrame) -> DataFrame:

@@ -281,7 +281,7 @@ def spend_of_state(star: Star, state) -> DataFrame:
 
 def average_by(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """Average of an amount with two decimals; the sum is rounded so that order does not matter."""
-    return df.groupBy(key).agg((F.round(F.sum(value), 2) / F.count(value)).alias(out))
+    return df.groupBy(key).agg(F.try_divide(F.round(F.sum(value), 2), F.count(value)).alias(out))
 
 
 def kpi_row(star: Star, delivered) -> DataFrame:
@@ -290,7 +290,7 @@ def kpi_row(star: Star, delivered) -> DataFrame:
     return star.orders.agg(
         F.count("*").alias("orders"),
         F.coalesce(F.round(F.sum("amount"), 2), F.lit(0.0)).alias("revenue"),
-        F.coalesce(F.round(F.sum("amount"), 2) / F.count("amount"), F.lit(0.0)).alias("average_order"),
+        F.coalesce(F.try_divide(F.round(F.sum("amount"), 2), F.count("amount")), F.lit(0.0)).alias("average_order"),
         F.count_if(F.col("status") == F.lit(delivered)).alias("delivered"),
     ).select(
         count_of(star.customers).alias("customers"),

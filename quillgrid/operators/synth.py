@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import vocab
 from ..functions.dates import spread_date
 from ..functions.generate import city, generic_value, padded, person_name, pick, role_of
+from ..session import constant_frame
 from .ordering import enumerate_rows
 
 
@@ -17,7 +18,7 @@ def ids_for(table: DataFrame, column: str) -> DataFrame:
     """Key values of a parent table; empty if it has no such column."""
     if column in table.columns:
         return table.select(column)
-    return table.sparkSession.createDataFrame([], f"{column} string")
+    return constant_frame(table.sparkSession, [], f"{column} string")
 
 
 def _rows(spark: SparkSession, missing: int) -> DataFrame:

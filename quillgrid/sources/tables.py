@@ -91,7 +91,12 @@ RUN_LOG_SCHEMA = T.StructType([
 def write_run_log(log: DataFrame, path: str) -> None:
     """CSV with a header; texts are quoted and may span lines."""
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in RUN_LOG_SCHEMA]
-    log.select(*columns).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    (
+        log.select(*columns).write.mode("overwrite")
+        .option("header", True).option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
