@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vocab
@@ -29,6 +29,17 @@ def tokenize(text: Column) -> Column:
     return F.transform(F.filter(words(text), is_kept_word), singular)
 
 
+def token_rows(df: DataFrame, text: str, out: str = "term") -> DataFrame:
+    """One row per search token, in place of the text.
+
+    The words are exploded before they are filtered and cut, so that the per-word work runs in
+    generated code; exploding a filtered array would evaluate the array several times.
+    """
+    rest = [c for c in df.columns if c != text]
+    exploded = df.select(*rest, F.explode(words(F.col(text))).alias("__word")).where(is_kept_word(F.col("__word")))
+    return exploded.select(*rest, singular(F.col("__word")).alias(out))
+
+
 def normalize_question(text: Column) -> Column:
     """Case and punctuation removed, words joined by one space."""
     return F.array_join(words(text), " ")

@@ -65,19 +65,20 @@ def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return df.groupBy(key).agg(row.alias("__row")).select(key, "__row.*").select(*df.columns)
 
 
-def cooldown(events: DataFrame, key: str, time: str, tie: str, wait: int = vocab.COOLDOWN_SECONDS) -> DataFrame:
+def cooldown(events: DataFrame, key: str, time: str, tie: str, wait: int = vocab.COOLDOWN_SECONDS, slice: str = "hour") -> DataFrame:
     """Gap in seconds to the previous event of the same key, and the seconds still to wait.
 
-    The history of a key is cut into hours, so a key with very many events is spread over many
-    tasks. Within an hour ``lag`` gives the previous event; the first one of an hour takes the
-    last event of the key's previous hour from a summary with one row per key and hour.
+    The history of a key is cut into slices of time, so a key with very many events is spread
+    over many tasks. Within a slice ``lag`` gives the previous event; the first one of a slice
+    takes the last event of the key's previous slice from a summary with one row per key and
+    slice. A shorter slice serves denser data.
     """
-    sliced = events.withColumn("__hour", F.date_trunc("hour", F.col(time)))
-    within = Window.partitionBy(key, "__hour").orderBy(time, tie)
-    hours = sliced.groupBy(key, "__hour").agg(F.max(time).alias("__last"))
-    across = Window.partitionBy(key).orderBy("__hour")
-    before = hours.select(key, "__hour", F.lag("__last").over(across).alias("__before"))
-    previous = sliced.withColumn("__previous", F.lag(time).over(within)).join(before, [key, "__hour"])
+    sliced = events.withColumn("__slice", F.date_trunc(slice, F.col(time)))
+    within = Window.partitionBy(key, "__slice").orderBy(time, tie)
+    slices = sliced.groupBy(key, "__slice").agg(F.max(time).alias("__last"))
+    across = Window.partitionBy(key).orderBy("__slice")
+    before = slices.select(key, "__slice", F.lag("__last").over(across).alias("__before"))
+    previous = sliced.withColumn("__previous", F.lag(time).over(within)).join(before, [key, "__slice"])
     seconds = seconds_between(F.coalesce("__previous", "__before"), F.col(time))
     return previous.select(
         *events.columns,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab
-from ..functions.text import normalize_question, tokenize
+from ..functions.text import normalize_question, token_rows
 from ..session import broadcast_if_small, constant_frame, written_table
 from .nearest import nearest
 from .ordering import enumerate_rows, populated_first, top_per_group
@@ -36,12 +36,10 @@ def bm25_index(corpus: DataFrame) -> Bm25Index:
     The texts are hashed by id once; token counts then need no further shuffle, and the written
     postings of one text lie together, so scoring can add them up inside a task.
     """
-    tokens = corpus.select("item_id", "text").repartition("item_id").select("item_id", tokenize(F.col("text")).alias("tokens"))
-    postings = written_table(
-        tokens.select("item_id", F.size("tokens").alias("length"), F.explode("tokens").alias("term"))
-        .groupBy("item_id", "length", "term").agg(F.count("*").alias("tf")),
-        "postings",
-    )
+    tokens = token_rows(corpus.select("item_id", "text").repartition("item_id"), "text")
+    counted = tokens.groupBy("item_id", "term").agg(F.count("*").alias("tf"))
+    length = F.sum("tf").over(Window.partitionBy("item_id"))
+    postings = written_table(counted.withColumn("length", length), "postings")
     documents = corpus.agg(F.count("*")).scalar()
     counts = postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
     raw_idf = F.log(documents - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
@@ -59,7 +57,7 @@ def bm25_score(index: Bm25Index, queries: DataFrame) -> DataFrame:
     each time. Scores are rounded, so that equal texts have equal scores.
     """
     asked = (
-        queries.select("query_id", F.explode(tokenize(F.col("text"))).alias("term"))
+        token_rows(queries.select("query_id", "text"), "text")
         .groupBy("query_id", "term").agg(F.count("*").alias("times"))
     )
     weighted = (
@@ -95,31 +93,26 @@ def minmax_normalize(scores: DataFrame, group: str = "query_id", value: str = "s
     )
 
 
-def lexical_normalize(scores: DataFrame, queries: DataFrame, documents: Column) -> tuple[DataFrame, DataFrame]:
+def lexical_normalize(scores: DataFrame, queries: DataFrame, documents: Column) -> DataFrame:
     """Scale BM25 scores over the whole corpus, where unmatched items count as 0.
 
-    Returns the scaled scores and, per query, the scaled value of an unmatched item.
+    Adds ``bm25`` and, for the query, the scaled value ``unmatched`` of an item without a score.
     """
     seen = scores.groupBy("query_id").agg(
         F.min("score").alias("low"), F.max("score").alias("high"), F.count("*").alias("matched")
     )
-    extremes = queries.select("query_id").join(seen, "query_id", "left").select(
+    some_unmatched = F.col("matched") < documents
+    bounds = seen.select(
         "query_id",
-        *[
-            F.when(F.coalesce("matched", F.lit(0)) < documents, pick(F.coalesce(side, F.lit(0.0)), F.lit(0.0)))
-            .otherwise(F.col(side)).alias(side)
-            for side, pick in (("low", F.least), ("high", F.greatest))
-        ],
-    )
-    extremes = written_table(extremes, "extremes")
-    bounds = broadcast_if_small(extremes, SUMMARY_BROADCAST)
-    scaled = scores.join(bounds, "query_id").select(
-        "query_id", "item_id", F.round(scale(F.col("score"), F.col("low"), F.col("high")), PLACES).alias("bm25")
+        F.when(some_unmatched, F.least("low", F.lit(0.0))).otherwise(F.col("low")).alias("low"),
+        F.when(some_unmatched, F.greatest("high", F.lit(0.0))).otherwise(F.col("high")).alias("high"),
     )
-    unmatched = extremes.select(
-        "query_id", F.round(scale(F.lit(0.0), F.col("low"), F.col("high")), PLACES).alias("unmatched")
+    if queries.limit(SUMMARY_BROADCAST + 1).count() <= SUMMARY_BROADCAST:
+        bounds = F.broadcast(bounds)  # one row per query
+    scaled = lambda value: F.round(scale(value, F.col("low"), F.col("high")), PLACES)
+    return scores.join(bounds, "query_id").select(
+        "query_id", "item_id", scaled(F.col("score")).alias("bm25"), scaled(F.lit(0.0)).alias("unmatched")
     )
-    return scaled, unmatched
 
 
 def merge_scores(left: DataFrame, right: DataFrame, left_value: str, right_value: str) -> DataFrame:
@@ -150,29 +143,33 @@ def hybrid_hits(
     similarity = fetched.select("query_id", "item_id", (1 - F.col("distance")).alias("score"))
     vector_side = minmax_normalize(similarity, out="vector").drop("score")
     index = bm25_index(corpus)
-    scaled, unmatched = lexical_normalize(bm25_score(index, queries), queries, index.documents)
-    merged = vector_side.join(scaled, ["query_id", "item_id"], "full_outer").join(
-        broadcast_if_small(unmatched, SUMMARY_BROADCAST), "query_id"
-    )
-    lexical = F.coalesce("bm25", "unmatched")
-    scored = merged.select(
-        "query_id", "item_id",
-        hybrid_score(F.coalesce("vector", F.lit(0.0)), lexical).alias("score"),
-        F.coalesce("vector", F.lit(0.0)).alias("vector"),
-        lexical.alias("bm25"),
-        "unmatched",
-    )
-    scored = with_empty_flag(scored, empty_items)
-    items = corpus.select("item_id").union(vectors.select("item_id")).distinct()
-    top = populated_first(scored, "query_id", k, F.desc("score"))
+    text_side = lexical_normalize(bm25_score(index, queries), queries, index.documents)
+    scored = _fuse(vector_side, text_side)
     # written: the check below and the final ranking both read it
-    top = written_table(top, "fused")
-    short = _queries_to_fill(queries, top, unmatched, k)
+    top = written_table(populated_first(with_empty_flag(scored, empty_items), "query_id", k, F.desc("score")), "fused")
+    short = _queries_to_fill(queries, top, k)
     if short.isEmpty():
         return top.drop("unmatched")
-    filled = _first_unscored(with_empty_flag(items, empty_items), scored.join(short, "query_id", "left_semi"), short, k)
-    return populated_first(
-        top.drop("rank", "unmatched").unionByName(filled), "query_id", k, F.desc("score")
+    items = corpus.select("item_id").union(vectors.select("item_id")).distinct()
+    scored_items = scored.select("query_id", "item_id").join(short, "query_id", "left_semi")
+    filled = _first_unscored(with_empty_flag(items, empty_items), scored_items, short, k)
+    return populated_first(top.drop("rank", "unmatched").unionByName(filled), "query_id", k, F.desc("score"))
+
+
+def _fuse(vector_side: DataFrame, text_side: DataFrame) -> DataFrame:
+    """Scores of all items that either side has found.
+
+    A vector hit without a text match has the query's ``unmatched`` text score, which is known
+    from any matched row of the query.
+    """
+    base = text_side.groupBy("query_id").agg(F.max("unmatched").alias("base"))
+    based = vector_side.join(base, "query_id", "left")
+    merged = based.join(text_side, ["query_id", "item_id"], "full_outer")
+    base_score = F.coalesce("unmatched", "base", F.lit(0.0))
+    vector, lexical = F.coalesce("vector", F.lit(0.0)), F.coalesce("bm25", base_score)
+    return merged.select(
+        "query_id", "item_id", hybrid_score(vector, lexical).alias("score"),
+        vector.alias("vector"), lexical.alias("bm25"), base_score.alias("unmatched"),
     )
 
 
@@ -182,13 +179,17 @@ def with_empty_flag(rows: DataFrame, empty_items: DataFrame) -> DataFrame:
     return rows.join(flags, "item_id", "left").withColumn("empty", F.coalesce("empty", F.lit(False)))
 
 
-def _queries_to_fill(queries: DataFrame, top: DataFrame, unmatched: DataFrame, k: int) -> DataFrame:
+def _queries_to_fill(queries: DataFrame, top: DataFrame, k: int) -> DataFrame:
     """Queries with fewer than ``k`` populated hits that beat an unmatched item."""
     base = hybrid_score(F.lit(0.0), F.col("unmatched"))
-    ahead = top.where(~F.col("empty") & (F.col("score") > base)).groupBy("query_id").agg(F.count("*").alias("ahead"))
+    facts = top.groupBy("query_id").agg(
+        F.max("unmatched").alias("unmatched"), F.count_if(~F.col("empty") & (F.col("score") > base)).alias("ahead")
+    )
+    # a query without any hit has only zero scores
     return (
-        queries.select("query_id").join(unmatched, "query_id").join(ahead, "query_id", "left")
-        .where(F.coalesce("ahead", F.lit(0)) < k).select("query_id", "unmatched")
+        queries.select("query_id").join(facts, "query_id", "left")
+        .where(F.coalesce("ahead", F.lit(0)) < k)
+        .select("query_id", F.coalesce("unmatched", F.lit(0.0)).alias("unmatched"))
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import vocab
 from ..functions.text import token_estimate
 from ..operators import evaluate, sets
-from ..session import new_path
+from ..session import new_path, written_table
 from ..sources.tables import Tables, read_run_log, refresh_answers, write_run_log
 from .registry import query
 
@@ -76,7 +76,7 @@ def nation_answers(t: Tables) -> DataFrame:
 def batch_sides(t: Tables, shift: int = 0) -> tuple[DataFrame, DataFrame]:
     """Gold rows, and predicted rows that differ in a way that depends on the nation:
     the same, a further column, a row dropped, a total changed, copies of a row, unrelated rows."""
-    answers = nation_answers(t)
+    answers = written_table(nation_answers(t), "answers")  # read once per kind of change
     gold = evaluate.result_rows(answers)
     kind = F.pmod(F.col("question_id") + shift, F.lit(VARIANTS))
     total = F.when(kind == 3, F.col("total") + 1).otherwise(F.col("total")).cast("decimal(18,2)")

@@ -59,7 +59,7 @@ def bm25_index(t: Tables) -> DataFrame:
 
 @query("bm25_postings", f"""
 WITH {bm25(CORPUS_SQL, ASKED_SQL)}
-SELECT item_id, CAST(length AS INTEGER) AS length, term, tf FROM postings""")
+SELECT item_id, length, term, tf FROM postings""")
 def bm25_postings(t: Tables) -> DataFrame:
     return retrieval.bm25_index(corpus(t)).postings
 

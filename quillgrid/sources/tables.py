@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -148,9 +148,8 @@ def refresh_answers(spark: SparkSession, saved: list[tuple[str, str]], base: str
     gathered into a single value.
     """
     path = f"{base}/v={version}"
-    for number, (question, sql) in enumerate(saved):
-        mode = "overwrite" if number == 0 else "append"
-        answer_rows(spark, sql, question).write.mode(mode).parquet(path)
+    answers = [answer_rows(spark, sql, question) for question, sql in saved]
+    reduce(DataFrame.unionByName, answers).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
