@@ -93,10 +93,11 @@ def minmax_normalize(scores: DataFrame, group: str = "query_id", value: str = "s
     )
 
 
-def lexical_normalize(scores: DataFrame, queries: DataFrame, documents: Column) -> DataFrame:
+def lexical_normalize(scores: DataFrame, queries: DataFrame, documents: Column) -> tuple[DataFrame, DataFrame]:
     """Scale BM25 scores over the whole corpus, where unmatched items count as 0.
 
-    Adds ``bm25`` and, for the query, the scaled value ``unmatched`` of an item without a score.
+    Returns (query_id, item_id, bm25), and (query_id, unmatched) with the scaled value of an item
+    without a score for the queries that have any.
     """
     seen = scores.groupBy("query_id").agg(
         F.min("score").alias("low"), F.max("score").alias("high"), F.count("*").alias("matched")
@@ -110,9 +111,8 @@ def lexical_normalize(scores: DataFrame, queries: DataFrame, documents: Column)
     if queries.limit(SUMMARY_BROADCAST + 1).count() <= SUMMARY_BROADCAST:
         bounds = F.broadcast(bounds)  # one row per query
     scaled = lambda value: F.round(scale(value, F.col("low"), F.col("high")), PLACES)
-    return scores.join(bounds, "query_id").select(
-        "query_id", "item_id", scaled(F.col("score")).alias("bm25"), scaled(F.lit(0.0)).alias("unmatched")
-    )
+    text_side = scores.join(bounds, "query_id").select("query_id", "item_id", scaled(F.col("score")).alias("bm25"))
+    return text_side, bounds.select("query_id", scaled(F.lit(0.0)).alias("unmatched"))
 
 
 def merge_scores(left: DataFrame, right: DataFrame, left_value: str, right_value: str) -> DataFrame:
@@ -141,36 +141,39 @@ def hybrid_hits(
     total = vectors.count()
     fetched = nearest(vectors, queries.select("query_id", "vector"), min(max(5 * k, 30), total))
     similarity = fetched.select("query_id", "item_id", (1 - F.col("distance")).alias("score"))
-    vector_side = minmax_normalize(similarity, out="vector").drop("score")
+    # written, as the rest of the plan reads these tables more than once
+    near = written_table(minmax_normalize(similarity, out="vector").drop("score"), "near")
     index = bm25_index(corpus)
-    text_side = lexical_normalize(bm25_score(index, queries), queries, index.documents)
-    scored = _fuse(vector_side, text_side)
-    # written: the check below and the final ranking both read it
-    top = written_table(populated_first(with_empty_flag(scored, empty_items), "query_id", k, F.desc("score")), "fused")
-    short = _queries_to_fill(queries, top, k)
+    scores = written_table(bm25_score(index, queries), "scores")
+    text_side, unmatched = lexical_normalize(scores, queries, index.documents)
+    best = _fuse(near, text_side, unmatched, empty_items, k)
+    top = written_table(populated_first(best, "query_id", k, F.desc("score")), "fused")
+    short = _queries_to_fill(queries, top, unmatched, k)
     if short.isEmpty():
-        return top.drop("unmatched")
+        return top
     items = corpus.select("item_id").union(vectors.select("item_id")).distinct()
-    scored_items = scored.select("query_id", "item_id").join(short, "query_id", "left_semi")
-    filled = _first_unscored(with_empty_flag(items, empty_items), scored_items, short, k)
-    return populated_first(top.drop("rank", "unmatched").unionByName(filled), "query_id", k, F.desc("score"))
+    scored = near.select("query_id", "item_id").union(scores.select("query_id", "item_id")).distinct()
+    filled = _first_unscored(with_empty_flag(items, empty_items), scored.join(short, "query_id", "left_semi"), short, k)
+    return populated_first(top.drop("rank").unionByName(filled), "query_id", k, F.desc("score"))
 
 
-def _fuse(vector_side: DataFrame, text_side: DataFrame) -> DataFrame:
-    """Scores of all items that either side has found.
+def _fuse(near: DataFrame, text_side: DataFrame, unmatched: DataFrame, empty_items: DataFrame, k: int) -> DataFrame:
+    """All vector hits, and the best ``k`` text matches that are no vector hit, with fused scores.
 
-    A vector hit without a text match has the query's ``unmatched`` text score, which is known
-    from any matched row of the query.
+    A query has at most a few dozen vector hits but may match most of the corpus. The hits go to
+    the matches, not the other way round, and each task keeps its best ``k`` matches per query,
+    so the matches themselves are not shuffled.
     """
-    base = text_side.groupBy("query_id").agg(F.max("unmatched").alias("base"))
-    based = vector_side.join(base, "query_id", "left")
-    merged = based.join(text_side, ["query_id", "item_id"], "full_outer")
-    base_score = F.coalesce("unmatched", "base", F.lit(0.0))
-    vector, lexical = F.coalesce("vector", F.lit(0.0)), F.coalesce("bm25", base_score)
-    return merged.select(
-        "query_id", "item_id", hybrid_score(vector, lexical).alias("score"),
-        vector.alias("vector"), lexical.alias("bm25"), base_score.alias("unmatched"),
+    keys = ["query_id", "item_id"]
+    near_keys = broadcast_if_small(near.select(keys), SUMMARY_BROADCAST)
+    of_near = text_side.join(near_keys, keys, "left_semi")
+    hits = near.join(of_near, keys, "left").join(unmatched, "query_id", "left").select(
+        *keys, "vector", F.coalesce("bm25", "unmatched", F.lit(0.0)).alias("bm25")
     )
+    others = text_side.join(near_keys, keys, "left_anti").select(*keys, F.lit(0.0).alias("vector"), "bm25")
+    score = hybrid_score(F.col("vector"), F.col("bm25")).alias("score")
+    flagged = lambda rows: with_empty_flag(rows.select(*keys, score, "vector", "bm25"), empty_items)
+    return flagged(hits).unionByName(populated_first(flagged(others), "query_id", k, F.desc("score")).drop("rank"))
 
 
 def with_empty_flag(rows: DataFrame, empty_items: DataFrame) -> DataFrame:
@@ -179,16 +182,15 @@ def with_empty_flag(rows: DataFrame, empty_items: DataFrame) -> DataFrame:
     return rows.join(flags, "item_id", "left").withColumn("empty", F.coalesce("empty", F.lit(False)))
 
 
-def _queries_to_fill(queries: DataFrame, top: DataFrame, k: int) -> DataFrame:
+def _queries_to_fill(queries: DataFrame, top: DataFrame, unmatched: DataFrame, k: int) -> DataFrame:
     """Queries with fewer than ``k`` populated hits that beat an unmatched item."""
-    base = hybrid_score(F.lit(0.0), F.col("unmatched"))
-    facts = top.groupBy("query_id").agg(
-        F.max("unmatched").alias("unmatched"), F.count_if(~F.col("empty") & (F.col("score") > base)).alias("ahead")
-    )
-    # a query without any hit has only zero scores
+    based = top.join(unmatched, "query_id", "left").withColumn("unmatched", F.coalesce("unmatched", F.lit(0.0)))
+    ahead = based.where(~F.col("empty") & (F.col("score") > hybrid_score(F.lit(0.0), F.col("unmatched"))))
+    counts = ahead.groupBy("query_id").agg(F.count("*").alias("ahead"))
+    # a query that matches no text has only zero scores
     return (
-        queries.select("query_id").join(facts, "query_id", "left")
-        .where(F.coalesce("ahead", F.lit(0)) < k)
+        queries.select("query_id").join(counts, "query_id", "left").where(F.coalesce("ahead", F.lit(0)) < k)
+        .join(unmatched, "query_id", "left")
         .select("query_id", F.coalesce("unmatched", F.lit(0.0)).alias("unmatched"))
     )
 
