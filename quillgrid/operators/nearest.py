@@ -84,12 +84,12 @@ def nearest(
 ) -> DataFrame:
     """The ``n`` nearest corpus items per query: (query_id, item_id, distance, rank).
 
-    corpus(item_id, vector), queries(query_id, vector), both without NULL vectors. A batch of
+    corpus(item_id, vector), queries(query_id, vector); rows without a vector take no part. A batch of
     queries below ``broadcast_values`` numbers travels to the corpus, which is then read once
     and not shuffled. A larger batch is joined cell by cell, see :func:`_by_cells`.
     """
-    corpus = corpus.select(F.col("item_id").cast("long").alias("item_id"), "vector")
-    queries = queries.select(F.col("query_id").cast("long").alias("query_id"), "vector")
+    corpus = corpus.select(F.col("item_id").cast("long").alias("item_id"), "vector").dropna()
+    queries = queries.select(F.col("query_id").cast("long").alias("query_id"), "vector").dropna()
     size = queries.agg(F.count("*").alias("rows"), F.max(F.size("vector")).alias("width")).first()
     if size["rows"] == 0:
         return constant_frame(queries.sparkSession, [], HIT + ", rank long")

@@ -78,8 +78,9 @@ def cooldown(events: DataFrame, key: str, time: str, tie: str, wait: int = vocab
     slices = sliced.groupBy(key, "__slice").agg(F.max(time).alias("__last"))
     across = Window.partitionBy(key).orderBy("__slice")
     before = slices.select(key, "__slice", F.lag("__last").over(across).alias("__before"))
-    previous = sliced.withColumn("__previous", F.lag(time).over(within)).join(before, [key, "__slice"])
-    seconds = seconds_between(F.coalesce("__previous", "__before"), F.col(time))
+    previous = sliced.withColumn("__previous", F.lag(time).over(within)).join(before, [key, "__slice"], "left")
+    # events without a key have no predecessor
+    seconds = F.when(F.col(key).isNotNull(), seconds_between(F.coalesce("__previous", "__before"), F.col(time)))
     return previous.select(
         *events.columns,
         seconds.alias("gap_seconds"),

@@ -85,11 +85,11 @@ def scale(value: Column, low: Column, high: Column) -> Column:
 def minmax_normalize(scores: DataFrame, group: str = "query_id", value: str = "score", out: str = "normalized") -> DataFrame:
     """Scale the scores of each query. The extremes come from an aggregate, not from a window,
     so a query with very many scores is no single task."""
-    extremes = scores.groupBy(group).agg(F.min(value).alias("__low"), F.max(value).alias("__high"))
+    extremes = scores.groupBy(F.col(group).alias("__group")).agg(F.min(value).alias("__low"), F.max(value).alias("__high"))
     return (
-        scores.join(extremes, group)
+        scores.join(extremes, F.col(group).eqNullSafe(F.col("__group")))
         .withColumn(out, F.round(scale(F.col(value), F.col("__low"), F.col("__high")), PLACES))
-        .drop("__low", "__high")
+        .drop("__group", "__low", "__high")
     )
 
 

@@ -203,7 +203,7 @@ def recent_orders(star: Star, n: int = 8) -> DataFrame:
     top = written_table(star.lines.orderBy(*order).limit(n), "recent")
     # the top-n has at most n rows, which bounds both broadcasts
     orders = star.orders.join(F.broadcast(top.select("order_id").distinct()), "order_id", "left_semi").select("order_id", "customer_id", "status")
-    head = top.join(orders, "order_id", "left")
+    head = written_table(top.join(orders, "order_id", "left"), "recent")
     customers = star.customers.join(F.broadcast(head.select("customer_id").distinct()), "customer_id", "left_semi").select("customer_id", "customer_name")
     products = star.products.join(F.broadcast(top.select("product_id").distinct()), "product_id", "left_semi").select("product_id", "product_name")
     return (

@@ -125,7 +125,7 @@ def respread_dates(table: DataFrame, key: str, columns: list[str], end_date: str
     spread = numbered.select(*[
         date.cast(table.schema[c].dataType).alias(c) if c in columns else F.col(c) for c in table.columns
     ])
-    return spread if floor is None else table.where(F.col(key) < floor).unionByName(spread)
+    return spread if floor is None else table.where(F.coalesce(F.col(key) < floor, F.lit(True))).unionByName(spread)
 
 
 def date_columns(columns: list[str]) -> list[str]:

@@ -106,6 +106,12 @@ def test_cooldown_across_slices(spark):
     ]
 
 
+def test_cooldown_keeps_rows_without_key_or_time(spark):
+    events = spark.createDataFrame([(1, None, "2024-01-01 00:00:00"), (2, None, "2024-01-01 00:00:01"), (3, 1, None)], "id long, user long, t string")
+    rows = ordering.cooldown(events.withColumn("t", F.col("t").cast("timestamp")), "user", "t", "id").collect()
+    assert sorted((r.id, r.gap_seconds, r.blocked) for r in rows) == [(1, None, False), (2, None, False), (3, None, False)]
+
+
 def test_open_requests(spark):
     rows = [(1, 1, "ask"), (2, 1, "ask"), (3, 1, "done"), (4, 1, "ask"), (5, 2, "ask"), (6, 2, "done"), (7, 3, "ask")]
     events = spark.createDataFrame([(i, u, f"2024-01-01 00:00:{i:02d}", k) for i, u, k in rows], "id long, user long, t string, kind string")
