@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,9 +42,25 @@ def token_rows(df: DataFrame, text: str, out: str = "term") -> DataFrame:
     return exploded.select(*rest, singular(F.col("__word")).alias(out))
 
 
+# Characters whose full case folding holds ASCII letters that lower-casing does not give, as in
+# the German sharp s.
+FOLDED = {
+    c: c.casefold() for c in map(chr, range(0x80, 0x10000))
+    if c.casefold() != c.lower() and re.search("[a-z0-9]", c.casefold())
+}
+
+
+def casefold(text: Column) -> Column:
+    """Full case folding, as far as it concerns ASCII words."""
+    folded = text
+    for character, replacement in FOLDED.items():
+        folded = F.replace(folded, F.lit(character), F.lit(replacement))
+    return F.lower(F.when(text.rlike("[" + "".join(FOLDED) + "]"), folded).otherwise(text))
+
+
 def normalize_question(text: Column) -> Column:
     """Case and punctuation removed, words joined by one space."""
-    return F.array_join(words(text), " ")
+    return F.array_join(F.regexp_extract_all(casefold(text), F.lit("([a-z0-9]+)"), F.lit(1)), " ")
 
 
 def humanize_name(name: Column) -> Column:

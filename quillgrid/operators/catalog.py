@@ -87,11 +87,14 @@ def _hash_slot(column: str) -> Column:
 
 
 def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Exact distinct non-null values per column, as (column, distinct_values).
+    """Distinct non-null values per column, as (column, distinct_values).
 
-    Distinct per column and value first, so the shuffle carries each value once per task.
+    Distinct per column and value first, so the shuffle carries each value once per task; a long
+    text travels as its SHA-256 digest.
     """
-    values = _column_values(df, columns).distinct()
+    is_long = F.length("value") > 64
+    identity = F.struct(is_long, F.when(is_long, F.sha2("value", 256)).otherwise(F.col("value"))).alias("value")
+    values = _column_values(df, columns).select("column", identity).distinct()
     found = values.groupBy("column").agg(F.count("*").alias("distinct_values"))
     names = constant_frame(df.sparkSession, [(c,) for c in columns], "column string")
     return names.join(found, "column", "left").select("column", F.coalesce("distinct_values", F.lit(0)).alias("distinct_values"))

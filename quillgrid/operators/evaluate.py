@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import vocab
+from ..session import written_table
 
 
 def cell_text(df: DataFrame, column: str) -> Column:
@@ -62,11 +63,11 @@ def bag_equal(gold: DataFrame, predicted: DataFrame) -> DataFrame:
     )
 
 
-def cell_facts(gold: DataFrame, predicted: DataFrame) -> DataFrame:
-    """Per question: distinct gold cells, distinct predicted cells, gold cells not predicted."""
+def _cell_facts(rows: DataFrame) -> DataFrame:
+    """From rows(question_id, cells, high, low), where high = 1 means in gold, low = -1 predicted."""
     cells = (
-        _both(gold, predicted).select("question_id", "side", F.explode("cells").alias("cell"))
-        .groupBy("question_id", "cell").agg(F.max("side").alias("high"), F.min("side").alias("low"))
+        rows.select("question_id", F.explode("cells").alias("cell"), "high", "low")
+        .groupBy("question_id", "cell").agg(F.max("high").alias("high"), F.min("low").alias("low"))
     )
     return cells.groupBy("question_id").agg(
         F.count_if(F.col("high") == 1).alias("gold_cells"),
@@ -75,19 +76,29 @@ def cell_facts(gold: DataFrame, predicted: DataFrame) -> DataFrame:
     )
 
 
+def cell_facts(gold: DataFrame, predicted: DataFrame) -> DataFrame:
+    """Per question: distinct gold cells, distinct predicted cells, gold cells not predicted."""
+    both = _both(gold, predicted)
+    return _cell_facts(both.select("question_id", "cells", F.col("side").alias("high"), F.col("side").alias("low")))
+
+
 def batch_result_match(questions: DataFrame, gold: DataFrame, predicted: DataFrame) -> DataFrame:
     """Execution accuracy per question: (question_id, correct).
 
     Correct if the rows are equal as bags; or, for a non-empty gold answer, if all its cells
     occur in the prediction, which has as many rows or at most 12 distinct cells more.
     """
-    rows = _both(gold, predicted).groupBy("question_id", "row").agg(
-        F.sum("side").alias("surplus"), F.count("*").alias("copies")
+    # written: rows and cells are both counted from it, and the compared queries run once
+    rows = written_table(
+        _both(gold, predicted).groupBy("question_id", "row", "cells").agg(
+            F.sum("side").alias("surplus"), F.max("side").alias("high"), F.min("side").alias("low")
+        ),
+        "compared",
     )
     row_facts = rows.groupBy("question_id").agg(
         F.count_if(F.col("surplus") != 0).alias("different"), F.sum("surplus").alias("row_surplus")
     )
-    cells = cell_facts(gold, predicted)
+    cells = _cell_facts(rows)
     facts = questions.select("question_id").join(row_facts, "question_id", "left").join(cells, "question_id", "left")
     number = lambda name: F.coalesce(F.col(name), F.lit(0))
     contained = (number("missing_cells") == 0) & (
@@ -168,13 +179,16 @@ def threshold_sweep(decisions: DataFrame, step: float = 0.01) -> DataFrame:
         F.count_if(~F.col("abstain_expected")).alias("answerable"),
         F.count_if("abstain_expected").alias("unanswerable"),
     )
-    total = decisions.agg(F.count("*")).scalar()
-    refused = decisions.agg(F.count_if("abstain_expected")).scalar()
-    upto = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    right = F.sum("answerable").over(upto) + refused - F.sum("unanswerable").over(upto)
-    return grid.where("step IS NOT NULL").select(
-        (F.col("step") / scale).alias("threshold"), right.alias("right"), total.alias("questions"),
-        F.try_divide(right, total).alias("accuracy"),
+    every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    upto = Window.orderBy(F.asc_nulls_last("step")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    refused_right = F.sum("unanswerable").over(every) - F.sum("unanswerable").over(upto)
+    sweep = grid.select(
+        "step", (F.sum("answerable").over(upto) + refused_right).alias("right"),
+        F.sum(F.col("answerable") + F.col("unanswerable")).over(every).alias("questions"),
+    )
+    return sweep.where("step IS NOT NULL").select(
+        (F.col("step") / scale).alias("threshold"), "right", "questions",
+        F.try_divide("right", "questions").alias("accuracy"),
     )
 
 

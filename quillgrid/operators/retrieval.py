@@ -30,14 +30,18 @@ class Bm25Index:
     average_length: Column
 
 
-def bm25_index(corpus: DataFrame) -> Bm25Index:
-    """Index corpus(item_id, text).
+def bm25_index(corpus: DataFrame, empty_items: DataFrame | None = None) -> Bm25Index:
+    """Index corpus(item_id, text); with ``empty_items`` the postings also tell empty items apart.
 
     The texts are hashed by id once; token counts then need no further shuffle, and the written
     postings of one text lie together, so scoring can add them up inside a task.
     """
-    tokens = token_rows(corpus.select("item_id", "text").repartition("item_id"), "text")
-    counted = tokens.groupBy("item_id", "term").agg(F.count("*").alias("tf"))
+    texts = corpus.select("item_id", "text").repartition("item_id")
+    if empty_items is not None:
+        texts = with_empty_flag(texts, empty_items)
+    tokens = token_rows(texts, "text")
+    item = [c for c in texts.columns if c != "text"]
+    counted = tokens.groupBy(*item, "term").agg(F.count("*").alias("tf"))
     length = F.sum("tf").over(Window.partitionBy("item_id"))
     postings = written_table(counted.withColumn("length", length), "postings")
     documents = corpus.agg(F.count("*")).scalar()
@@ -69,10 +73,9 @@ def bm25_score(index: Bm25Index, queries: DataFrame) -> DataFrame:
     k1, b = vocab.BM25_K1, vocab.BM25_B
     norm = k1 * (1 - b + b * F.col("length") / index.average_length)
     part = F.col("weight") * F.col("tf") * (k1 + 1) / (F.col("tf") + norm)
-    return (
-        index.postings.join(weighted, "term")
-        .groupBy("query_id", "item_id").agg(F.round(F.sum(part), PLACES).alias("score"))
-    )
+    score = F.round(F.sum(part), PLACES).alias("score")
+    flag = [F.max("empty").alias("empty")] if "empty" in index.postings.columns else []
+    return index.postings.join(weighted, "term").groupBy("query_id", "item_id").agg(score, *flag)
 
 
 # ---- normalisation and fusion ----------------------------------------------------------------
@@ -96,7 +99,7 @@ def minmax_normalize(scores: DataFrame, group: str = "query_id", value: str = "s
 def lexical_normalize(scores: DataFrame, queries: DataFrame, documents: Column) -> tuple[DataFrame, DataFrame]:
     """Scale BM25 scores over the whole corpus, where unmatched items count as 0.
 
-    Returns (query_id, item_id, bm25), and (query_id, unmatched) with the scaled value of an item
+    Returns the scores with ``bm25`` instead, and (query_id, unmatched) with the scaled value of an item
     without a score for the queries that have any.
     """
     seen = scores.groupBy("query_id").agg(
@@ -111,7 +114,7 @@ def lexical_normalize(scores: DataFrame, queries: DataFrame, documents: Column)
     if queries.limit(SUMMARY_BROADCAST + 1).count() <= SUMMARY_BROADCAST:
         bounds = F.broadcast(bounds)  # one row per query
     scaled = lambda value: F.round(scale(value, F.col("low"), F.col("high")), PLACES)
-    text_side = scores.join(bounds, "query_id").select("query_id", "item_id", scaled(F.col("score")).alias("bm25"))
+    text_side = scores.join(bounds, "query_id").withColumn("bm25", scaled(F.col("score"))).drop("score", "low", "high", "matched")
     return text_side, bounds.select("query_id", scaled(F.lit(0.0)).alias("unmatched"))
 
 
@@ -143,7 +146,8 @@ def hybrid_hits(
     similarity = fetched.select("query_id", "item_id", (1 - F.col("distance")).alias("score"))
     # written, as the rest of the plan reads these tables more than once
     near = written_table(minmax_normalize(similarity, out="vector").drop("score"), "near")
-    index = bm25_index(corpus)
+    # flagged per item here, where it costs one row per item and not one per match
+    index = bm25_index(corpus, empty_items)
     scores = written_table(bm25_score(index, queries), "scores")
     text_side, unmatched = lexical_normalize(scores, queries, index.documents)
     best = _fuse(near, text_side, unmatched, empty_items, k)
@@ -170,10 +174,11 @@ def _fuse(near: DataFrame, text_side: DataFrame, unmatched: DataFrame, empty_ite
     hits = near.join(of_near, keys, "left").join(unmatched, "query_id", "left").select(
         *keys, "vector", F.coalesce("bm25", "unmatched", F.lit(0.0)).alias("bm25")
     )
-    others = text_side.join(near_keys, keys, "left_anti").select(*keys, F.lit(0.0).alias("vector"), "bm25")
     score = hybrid_score(F.col("vector"), F.col("bm25")).alias("score")
-    flagged = lambda rows: with_empty_flag(rows.select(*keys, score, "vector", "bm25"), empty_items)
-    return flagged(hits).unionByName(populated_first(flagged(others), "query_id", k, F.desc("score")).drop("rank"))
+    others = text_side.join(near_keys, keys, "left_anti").withColumn("vector", F.lit(0.0))
+    best_others = populated_first(others.select(*keys, score, "vector", "bm25", "empty"), "query_id", k, F.desc("score"))
+    flagged = with_empty_flag(hits.select(*keys, score, "vector", "bm25"), empty_items)
+    return flagged.unionByName(best_others.drop("rank"))
 
 
 def with_empty_flag(rows: DataFrame, empty_items: DataFrame) -> DataFrame:

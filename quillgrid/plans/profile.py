@@ -9,7 +9,7 @@ from ..functions import dates, generate, text, vocab
 from ..operators import catalog, ordering, sets
 from ..sources.tables import PRIMARY_KEYS, TABLES, Tables
 from .registry import query
-from .sqltext import humanize, tokens, words
+from .sqltext import folded_words, humanize, tokens
 
 # Meanings of the codes in the given tables.
 ALIASES = {
@@ -152,7 +152,7 @@ def tokenize(t: Tables) -> DataFrame:
 
 
 @query("normalize_question", f"""
-SELECT conv_id, turn, array_to_string({words('text')}, ' ') AS question FROM conversations""")
+SELECT conv_id, turn, array_to_string({folded_words('text')}, ' ') AS question FROM conversations""")
 def normalize_question(t: Tables) -> DataFrame:
     return t.conversations.select("conv_id", "turn", text.normalize_question(F.col("text")).alias("question"))
 

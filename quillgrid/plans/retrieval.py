@@ -10,7 +10,7 @@ from ..operators import evaluate, ordering, retrieval
 from ..operators.nearest import nearest
 from ..sources.tables import Tables, last_by
 from .registry import query
-from .sqltext import bm25, distances, words
+from .sqltext import bm25, distances, folded_words
 
 THRESHOLD = 1.2  # calibrated on the distances of the given vectors
 
@@ -300,7 +300,7 @@ def semi_allowed_tables(t: Tables) -> DataFrame:
 
 
 @query("answer_cache_match", f"""
-WITH n AS (SELECT conv_id, turn, role, array_to_string({words('text')}, ' ') AS question FROM conversations),
+WITH n AS (SELECT conv_id, turn, role, array_to_string({folded_words('text')}, ' ') AS question FROM conversations),
 saved AS (SELECT question, min((conv_id, turn)) AS first FROM n GROUP BY question)
 SELECT conv_id, turn, first[1] AS saved_conversation, first[2] AS saved_turn FROM n JOIN saved USING (question) WHERE role = 'user'""")
 def answer_cache_match(t: Tables) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..functions import vocab
+from ..functions.text import FOLDED
 
 STOP_LIST = ", ".join(f"'{w}'" for w in vocab.STOPWORDS)
 GLOSSARY_MAP = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in vocab.GLOSSARY.items()) + "}"
@@ -12,6 +13,13 @@ def words(text: str) -> str:
     return f"regexp_extract_all(lower({text}), '[a-z0-9]+')"
 
 
+def folded_words(text: str) -> str:
+    folded = text
+    for character, replacement in FOLDED.items():
+        folded = f"replace({folded}, '{character}', '{replacement}')"
+    return words(folded)
+
+
 def tokens(text: str) -> str:
     kept = f"list_filter({words(text)}, lambda w: w NOT IN ({STOP_LIST}))"
     singular = "CASE WHEN length(w) > 3 AND w LIKE '%s' AND w NOT LIKE '%ss' THEN left(w, length(w) - 1) ELSE w END"

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,7 +26,9 @@ def test_token_rows_agree_with_the_array(spark):
 
 
 def test_questions_are_normalised(spark):
-    assert apply(spark, text.normalize_question, ["  How MANY, orders?! ", "...", "a-b_c"]) == ["how many orders", "", "a b c"]
+    values = ["  How MANY, orders?! ", "...", "a-b_c", "STRAßE", "ﬁne ſo", "Élan ŉ", "İd"]
+    expected = [" ".join(re.findall("[a-z0-9]+", v.casefold())) for v in values]
+    assert apply(spark, text.normalize_question, values) == expected
 
 
 def test_humanised_names(spark):
