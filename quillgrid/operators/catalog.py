@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text, vocab
 from ..session import constant_frame
+from ..sources.tables import write_index
+from .ordering import enumerate_rows
 
 HASH_SLOTS = 32768  # size of Spark's bitmap aggregate: 4 KB per column and task
 
@@ -218,3 +220,24 @@ def describe_tables(columns: DataFrame, inventory: DataFrame) -> DataFrame:
         ).alias("description"),
         (F.col("rows") == 0).alias("empty"),
     )
+
+
+def build_index(
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    keys: dict[str, list[str]],
+    path: str,
+    aliases: dict[tuple[str, str, str], list[str]] = vocab.VALUE_ALIASES,
+    limit: int = vocab.VALUE_CARDINALITY_LIMIT,
+    reset: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """Write the documents to embed: one per table under ``schema_index``, one per value under
+    ``value_index``. Vectors are joined on ``id`` later. Returns both as read back."""
+    inventory = table_inventory(spark, tables, keys)
+    described = describe_tables(catalog_columns(spark, tables, keys), inventory).join(inventory, "table")
+    write_index(described.select(F.col("table").alias("id"), F.col("description").alias("document"), "rows", "empty"), f"{path}/schema_index", reset)
+    documents = value_documents(extract_values(spark, tables, aliases, limit))
+    numbered = enumerate_rows(documents, "table", "column", "value", name="number")
+    identified = numbered.select(F.concat(F.lit("value_"), F.col("number").cast("string")).alias("id"), *documents.columns)
+    write_index(identified, f"{path}/value_index", reset)
+    return spark.read.parquet(f"{path}/schema_index"), spark.read.parquet(f"{path}/value_index")

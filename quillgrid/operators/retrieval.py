@@ -14,6 +14,7 @@ from .nearest import nearest
 from .ordering import enumerate_rows, populated_first, top_per_group
 
 PLACES = 6
+FUSED_PLACES = 7  # weights of one decimal times scores of six: nothing is left to round
 QUERY_TERMS_BROADCAST = 500_000
 SUMMARY_BROADCAST = 1_000_000
 
@@ -128,7 +129,7 @@ def merge_scores(left: DataFrame, right: DataFrame, left_value: str, right_value
 
 
 def hybrid_score(vector: Column, lexical: Column) -> Column:
-    return F.round(vocab.VECTOR_WEIGHT * vector + vocab.LEXICAL_WEIGHT * lexical, PLACES)
+    return F.round(vocab.VECTOR_WEIGHT * vector + vocab.LEXICAL_WEIGHT * lexical, FUSED_PLACES)
 
 
 def hybrid_hits(
@@ -251,7 +252,7 @@ def retrieve(
     """(query_id, item_id, distance, rank) from either retriever; a hybrid score counts as 1 - score."""
     if hybrid:
         hits = hybrid_hits(corpus, vectors, queries, empty_items, k or vocab.TOP_K_TABLES)
-        return hits.select("query_id", "item_id", F.round(1 - F.col("score"), PLACES).alias("distance"), "rank")
+        return hits.select("query_id", "item_id", F.round(1 - F.col("score"), FUSED_PLACES).alias("distance"), "rank")
     return vector_hits(vectors, queries, empty_items, k).select("query_id", "item_id", "distance", "rank")
 
 

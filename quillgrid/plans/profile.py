@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, generate, text, vocab
 from ..operators import catalog, ordering, sets
+from ..session import new_path
 from ..sources.tables import PRIMARY_KEYS, TABLES, Tables
 from .registry import query
 from .sqltext import folded_words, humanize, tokens
@@ -108,6 +109,15 @@ def value_document(t: Tables) -> DataFrame:
     return catalog.value_documents(extracted(t))
 
 
+@query("index_table_write", f"""
+SELECT 'value_' || (row_number() OVER (ORDER BY "table", "column", value) - 1) AS id, "table", "column", value, value_type,
+  array_to_string(aliases, ' | ') AS aliases FROM ({EXTRACT_SQL})""")
+def index_table_write(t: Tables) -> DataFrame:
+    """The value index as written and read back."""
+    _, value_index = catalog.build_index(t.spark, t.all, PRIMARY_KEYS, new_path(t.spark, "index"), ALIASES, LIMIT)
+    return value_index.drop("document")
+
+
 @query("alias_lookup", f"""
 SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag AS value, coalesce(array_to_string(a.aliases, ' | '), '') AS aliases
 FROM lineitem LEFT JOIN (VALUES {ALIAS_ROWS}) a(t, c, x, aliases) ON t = 'lineitem' AND c = 'l_returnflag' AND x = l_returnflag""")

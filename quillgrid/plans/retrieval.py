@@ -247,7 +247,7 @@ every AS (SELECT q.query_id, c.item_id, coalesce(s.score, 0) AS score FROM asked
 text_bounds AS (SELECT query_id, min(score) AS low, max(score) AS high FROM every GROUP BY query_id),
 text_scaled AS (SELECT query_id, item_id, round({SCALE_SQL.format(v='score')}, 6) AS bm25 FROM every JOIN text_bounds USING (query_id)),
 merged AS (SELECT query_id, item_id, coalesce(vector, 0) AS vector, coalesce(bm25, 0) AS bm25,
-           round(0.7 * coalesce(vector, 0) + 0.3 * coalesce(bm25, 0), 6) AS score, item_id IN ({EMPTY_SQL}) AS empty
+           round(0.7 * coalesce(vector, 0) + 0.3 * coalesce(bm25, 0), 7) AS score, item_id IN ({EMPTY_SQL}) AS empty
            FROM near_scaled FULL OUTER JOIN text_scaled USING (query_id, item_id)),
 fused AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY empty, score DESC, item_id) AS rank FROM merged)"""
 
@@ -261,7 +261,7 @@ def hybrid_fusion(t: Tables) -> DataFrame:
 
 
 @query("retriever_switch", f"""
-WITH {hybrid_sql(5)} SELECT query_id, item_id, CAST(round(1 - score, 6) AS DOUBLE) AS distance, rank FROM fused WHERE rank <= 5""")
+WITH {hybrid_sql(5)} SELECT query_id, item_id, CAST(round(1 - score, 7) AS DOUBLE) AS distance, rank FROM fused WHERE rank <= 5""")
 def retriever_switch(t: Tables) -> DataFrame:
     return retrieval.retrieve(corpus(t), vectors(t), hybrid_queries(t), empty_items(t), k=5, hybrid=True)
 

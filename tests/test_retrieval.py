@@ -127,7 +127,7 @@ def expected_hybrid(corpus, vectors, queries, empty, k):
         bm25 = scaled({i: 0.0 for i, _ in corpus} | okapi(corpus, words))
         fused = []
         for i in {i for i, _ in corpus} | set(vec):
-            score = round(0.7 * vec.get(i, 0.0) + 0.3 * bm25.get(i, 0.0), 6)
+            score = round(0.7 * vec.get(i, 0.0) + 0.3 * bm25.get(i, 0.0), 7)
             fused.append((i in empty, -score, i))
         out |= {(q, i, rank) for rank, (_, _, i) in enumerate(sorted(fused)[:k], 1)}
     return out

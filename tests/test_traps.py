@@ -183,3 +183,16 @@ def test_indexable_columns(spark):
 
     kept = rows.where(catalog.is_indexable(F.col("t"), F.col("c"), F.col("k"), VALUE_ALIASES))
     assert sorted(r.c for r in kept.collect()) == ["cust_nm", "stat_cd"]
+
+
+def test_index_build(spark, tmp_path):
+    t = {
+        "cust_mst": spark.createDataFrame([(1, "MH"), (2, "KA"), (3, "KA")], "cust_id long, st_cd string"),
+        "inv_hdr": spark.createDataFrame([], "inv_id string, note string"),
+    }
+    for _ in range(2):  # a reset replaces the old index
+        schema_index, value_index = catalog.build_index(spark, t, {"cust_mst": ["cust_id"]}, str(tmp_path / "index"))
+    assert {r.id: (r.rows, r.empty) for r in schema_index.collect()} == {"cust_mst": (3, False), "inv_hdr": (0, True)}
+    assert sorted((r.id, r.value, r.aliases) for r in value_index.collect()) == [
+        ("value_0", "KA", "Karnataka | Karnataka state"), ("value_1", "MH", "Maharashtra | Maharashtra state"),
+    ]
