@@ -1,14 +1,11 @@
 """Every registered query against its SQL on the smallest tables."""
 
 import os
-import sys
 
 import pytest
+from check_oracle import compare, connect
 
-sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
-
-from check_oracle import compare, connect  # noqa: E402
-from quillgrid.plans import ORACLES, QUERIES  # noqa: E402
+from quillgrid.plans import ORACLES, QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
