@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import Tables
+from .decontaminate import CONTAMINATED_SQL, contaminated
 from .exact_dedup import exact_groups
+from .minhash import near_duplicates
+from .sentencepiece_codec import encode_digests
+from .toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,3 +51,29 @@ def op8_exact_dedup(t: Tables) -> DataFrame:
     return groups.select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
+
+
+@query("op2_template_decontamination", CONTAMINATED_SQL)
+def op2_template_decontamination(t: Tables) -> DataFrame:
+    return contaminated(t.documents, t.benchmark).withColumnRenamed("id", "doc_id")
+
+
+@query("op3_circulant_minhash")
+def op3_circulant_minhash(t: Tables) -> DataFrame:
+    return near_duplicates(t.documents, width=2, percent=80).withColumnRenamed("id", "doc_id")
+
+
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op7_sentencepiece")
+def op7_sentencepiece(t: Tables) -> DataFrame:
+    return encode_digests(t.documents, piece_model()).withColumnRenamed("id", "doc_id")
+
+
+@query("op10_toxicity")
+def op10_toxicity(t: Tables) -> DataFrame:
+    return toxicity(t.documents, t.labels).withColumnRenamed("id", "doc_id")
