@@ -63,9 +63,12 @@ def stream_state(spark: SparkSession, source: DataFrame, path: str, base: str, f
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/state/batch={number}")
 
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider)
-    spark.conf.set(provider, ROCKSDB)
+    # an instance is closed with its commit: an open one holds megabytes of disk whatever its state
+    wanted = {"providerClass": ROCKSDB, "unloadOnCommit": "true"}
+    settings = {f"spark.sql.streaming.stateStore.{key}": value for key, value in wanted.items()}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         query = (
             groups.writeStream.outputMode("update").foreachBatch(keep)
@@ -73,7 +76,8 @@ def stream_state(spark: SparkSession, source: DataFrame, path: str, base: str, f
         )
         query.awaitTermination()
     finally:
-        spark.conf.set(provider, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     empty = source.groupBy("digest").agg(F.count("*").alias("size"), best_row().alias("best")).limit(0)
     try:
         changes = spark.read.schema(empty.schema).parquet(f"{base}/state")
