@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from ..sources.tables import Tables
 from .decontaminate import CONTAMINATED_SQL, contaminated
 from .exact_dedup import exact_groups
+from .html_text import main_text
+from .language_id import identify
+from .lm_score import pseudo_likelihood
 from .minhash import near_duplicates
+from .pii import digest_columns, find_pii
+from .repeats import repeated_passages
 from .sentencepiece_codec import encode_digests
 from .toxicity import toxicity
 
@@ -53,6 +58,11 @@ def op8_exact_dedup(t: Tables) -> DataFrame:
     )
 
 
+@query("op1_semi_markov_pii")
+def op1_semi_markov_pii(t: Tables) -> DataFrame:
+    return digest_columns(find_pii(t.documents))
+
+
 @query("op2_template_decontamination", CONTAMINATED_SQL)
 def op2_template_decontamination(t: Tables) -> DataFrame:
     return contaminated(t.documents, t.benchmark).withColumnRenamed("id", "doc_id")
@@ -63,6 +73,21 @@ def op3_circulant_minhash(t: Tables) -> DataFrame:
     return near_duplicates(t.documents, width=2, percent=80).withColumnRenamed("id", "doc_id")
 
 
+@query("op4_prefix_free_parsing")
+def op4_prefix_free_parsing(t: Tables) -> DataFrame:
+    return repeated_passages(t.documents).drop("kept").withColumnRenamed("id", "doc_id")
+
+
+@query("op5_language_fusion")
+def op5_language_fusion(t: Tables) -> DataFrame:
+    return identify(t.pages, t.documents).withColumnRenamed("id", "page_id")
+
+
+@query("op6_masked_pseudo_likelihood")
+def op6_masked_pseudo_likelihood(t: Tables) -> DataFrame:
+    return pseudo_likelihood(t.documents).withColumnRenamed("id", "doc_id")
+
+
 def piece_model() -> str:
     import public_tokenizers
 
@@ -74,6 +99,11 @@ def op7_sentencepiece(t: Tables) -> DataFrame:
     return encode_digests(t.documents, piece_model()).withColumnRenamed("id", "doc_id")
 
 
+@query("op9_page_differencing")
+def op9_page_differencing(t: Tables) -> DataFrame:
+    return main_text(t.pages).withColumnRenamed("id", "page_id")
+
+
 @query("op10_toxicity")
 def op10_toxicity(t: Tables) -> DataFrame:
     return toxicity(t.documents, t.labels).withColumnRenamed("id", "doc_id")
