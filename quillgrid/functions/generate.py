@@ -58,31 +58,33 @@ def measure(index: Column) -> Column:
     return F.round(500 + F.pmod(index * 173, F.lit(250_000)) / 100, 2).cast("string")
 
 
-# The role of a generated column by its name. The first pattern that is found in
-# the lower-cased name decides.
+def _named(names: tuple[str, ...]) -> str:
+    return "^(" + "|".join(names) + ")$"
+
+
+# The role of a generated column: the first pattern that is found in its lower-cased name.
 COLUMN_ROLES = (
-    ("state", r"^(st_cd|state_code)$"),
-    ("region", r"^(regn_cd|region|region_cd)$"),
-    ("country", r"^(cntry_cd|country_cd)$"),
-    ("category", r"^(cat_cd|category)$"),
-    ("department", r"^(dept_cd|department)$"),
-    ("access_role", r"^role_cd$"),
-    ("flag", r"^(stat_cd|status|proc_flg|sent_flg|actv_flg|can_rd|can_wr)$"),
-    ("date", r"(_dt|_ts)$|^(valid_to|last_run)$"),
-    ("time", r"_tm$"),
-    ("measure", r"amt|price|rate|sal|budget|gross|ded|net|spent|alloc|wdv|litres|dist|rating|pct|cap|on_hand|qty|grade|lvl"),
-    ("json", r"^raw_json$"),
-    ("email", r"email|^to_addr$"),
-    ("phone", r"mob_no"),
-    ("tax_number", r"gstin"),
-    ("post_code", r"pin_cd"),
-    ("city", r"city"),
-    ("name", r"nm|name"),
-    ("schedule", r"^cron_exp$"),
-    ("label", r"^(mode_cd|mov_typ|sender_typ|prio_cd|chnl_cd|acct_typ|carrier_cd|typ_cd|rsn_cd|lv_typ|res_cd|curr_cd"
-              r"|actn|subj|line1|body|cmnt|trk_no|reg_no|ref_no|src_file|modu_cd|prm_cd|prm_val|mth|fy|cyc_yr)$"),
-    ("code", r"_cd$"),
-    ("number", r"_id$"),
+    ("state", _named(vocab.STATE_COLUMNS)),
+    ("region", _named(vocab.REGION_COLUMNS)),
+    ("country", _named(vocab.COUNTRY_COLUMNS)),
+    ("category", _named(vocab.CATEGORY_COLUMNS)),
+    ("department", _named(vocab.DEPARTMENT_COLUMNS)),
+    ("access_role", _named(vocab.ROLE_COLUMNS)),
+    ("flag", _named(vocab.FLAG_COLUMNS)),
+    ("date", "(" + "|".join(vocab.DATE_ENDINGS) + ")$|" + _named(vocab.DATE_COLUMNS)),
+    ("time", "_tm$"),
+    ("measure", "|".join(vocab.MEASURE_PARTS)),
+    ("json", "^raw_json$"),
+    ("email", "email|^to_addr$"),
+    ("phone", "mob_no"),
+    ("tax_number", "gstin"),
+    ("post_code", "pin_cd"),
+    ("city", "city"),
+    ("name", "nm|name"),
+    ("schedule", "^cron_exp$"),
+    ("label", _named(vocab.LABEL_COLUMNS)),
+    ("code", "_cd$"),
+    ("number", "_id$"),
 )
 
 
@@ -121,12 +123,12 @@ def generic_value(table: str, column: str, i: Column, end_date: str) -> Column:
     person = "emp" in table or name.startswith("hod")
     values = {
         "state": lambda: pick([s[0] for s in vocab.STATES], i),
-        "region": lambda: pick(("WEST", "SOUTH", "NORTH", "EAST"), i),
-        "country": lambda: pick(("IN", "US", "SG", "AE"), i),
+        "region": lambda: pick(vocab.REGIONS, i),
+        "country": lambda: pick(vocab.COUNTRIES, i),
         "category": lambda: pick([p[1] for p in vocab.PRODUCTS], i),
         "department": lambda: pick(vocab.DEPARTMENTS, i),
-        "access_role": lambda: pick(("ADMIN", "ANALYST", "MANAGER", "STAFF"), i),
-        "flag": lambda: pick(("1", "2", "3", "1", "1", "0"), i),
+        "access_role": lambda: pick(vocab.ACCESS_ROLES, i),
+        "flag": lambda: pick(vocab.FLAGS, i),
         "date": lambda: spread_date(i, F.lit(vocab.TARGET_ROWS), end_date, offset=len(table)).cast("string"),
         "time": lambda: time_text(i),
         "measure": lambda: _measure_of(name, i),

@@ -102,3 +102,30 @@ COOLDOWN_SECONDS = 60
 EXPIRY_MINUTES = 5
 ERROR_TEXT_LENGTH = 120
 EMAIL_PATTERN = r"[^@\s]+@[^@\s]+\.[^@\s]+"
+
+# Column names of generated tables with a role of their own, and the values of
+# short cycles. The first rule that fits a name decides, so some names of the last list are
+# already taken by an earlier one.
+STATE_COLUMNS = ("st_cd", "state_code")
+REGION_COLUMNS = ("regn_cd", "region", "region_cd")
+COUNTRY_COLUMNS = ("cntry_cd", "country_cd")
+CATEGORY_COLUMNS = ("cat_cd", "category")
+DEPARTMENT_COLUMNS = ("dept_cd", "department")
+ROLE_COLUMNS = ("role_cd",)
+FLAG_COLUMNS = ("stat_cd", "status", "proc_flg", "sent_flg", "actv_flg", "can_rd", "can_wr")
+DATE_ENDINGS = ("_dt", "_ts")
+DATE_COLUMNS = ("eff_dt", "valid_to", "att_dt", "recv_dt", "fill_dt", "sent_dt", "last_run")
+MEASURE_PARTS = (
+    "amt", "price", "rate", "sal", "budget", "gross", "ded", "net", "spent", "alloc", "wdv", "litres", "dist", "rating",
+    "pct", "cap", "on_hand", "qty", "grade", "lvl", "min_sal",
+)
+LABEL_COLUMNS = (
+    "mode_cd", "mov_typ", "sender_typ", "prio_cd", "chnl_cd", "acct_typ", "carrier_cd", "typ_cd", "rsn_cd", "lv_typ",
+    "res_cd", "curr_cd", "cntry_cd", "actn", "tbl_nm", "subj", "line1", "body", "cmnt", "trk_no", "reg_no", "ref_no",
+    "src_file", "modu_cd", "prm_cd", "prm_val", "to_city", "frm_city", "strt_ts", "end_ts", "last_run", "upd_dt", "mth",
+    "fy", "cyc_yr",
+)
+REGIONS = ("WEST", "SOUTH", "NORTH", "EAST")
+COUNTRIES = ("IN", "US", "SG", "AE")
+ACCESS_ROLES = ("ADMIN", "ANALYST", "MANAGER", "STAFF")
+FLAGS = ("1", "2", "3", "1", "1", "0")

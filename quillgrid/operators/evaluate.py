@@ -144,8 +144,8 @@ def eval_subset(items: DataFrame, ids: list[str] | None = None, level: str | Non
 
 
 def group_by_level(items: DataFrame) -> DataFrame:
-    """Ids per level, sorted. Evaluation items are hand-written, so the lists are short."""
-    return items.groupBy("level").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    """Ids per level, sorted: (level, id) in that order, so a level may hold any number of items."""
+    return items.select("level", "id").orderBy("level", "id")
 
 
 def recall_and_rank(ranks: DataFrame, k: int) -> DataFrame:
@@ -175,18 +175,26 @@ def threshold_sweep(decisions: DataFrame, step: float = 0.01) -> DataFrame:
     scale = round(1 / step)
     # a question is answered at threshold t if distance <= t
     step_of = F.ceil(F.round(F.col("distance") * scale, 6))
-    grid = decisions.groupBy(step_of.cast("long").alias("step")).agg(
+    counted = decisions.groupBy(step_of.cast("long").alias("step")).agg(
         F.count_if(~F.col("abstain_expected")).alias("answerable"),
         F.count_if("abstain_expected").alias("unanswerable"),
     )
-    every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    upto = Window.orderBy(F.asc_nulls_last("step")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    refused_right = F.sum("unanswerable").over(every) - F.sum("unanswerable").over(upto)
-    sweep = grid.select(
-        "step", (F.sum("answerable").over(upto) + refused_right).alias("right"),
-        F.sum(F.col("answerable") + F.col("unanswerable")).over(every).alias("questions"),
-    )
-    return sweep.where("step IS NOT NULL").select(
+    # distances without a bound give a grid without a bound: sums run inside ranges of steps
+    grid = written_table(counted.repartitionByRange("step").withColumn("range", F.spark_partition_id()), "grid")
+    totals = grid.agg(F.sum("unanswerable").alias("refused"), F.sum(F.col("answerable") + F.col("unanswerable")).alias("questions")).first()
+    known = grid.where("step IS NOT NULL")
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range, which bounds the broadcast
+    ranges = known.groupBy("range").agg(F.sum("answerable").alias("a"), F.sum("unanswerable").alias("u")).select(
+        "range", F.coalesce(F.sum("a").over(before), F.lit(0)).alias("a"), F.coalesce(F.sum("u").over(before), F.lit(0)).alias("u")
+    )
+    upto = Window.partitionBy("range").orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    answered = F.sum("answerable").over(upto) + F.col("a")
+    refused = F.lit(totals.refused).cast("long") - F.sum("unanswerable").over(upto) - F.col("u")
+    sweep = known.join(F.broadcast(ranges), "range").select(
+        "step", (answered + refused).alias("right"), F.lit(totals.questions).cast("long").alias("questions")
+    )
+    return sweep.select(
         (F.col("step") / scale).alias("threshold"), "right", "questions",
         F.try_divide("right", "questions").alias("accuracy"),
     )
@@ -225,7 +233,7 @@ def ablation_summary(comparison: DataFrame) -> DataFrame:
 
 
 def run_log_stats(log: DataFrame) -> DataFrame:
-    """Per level: questions, errors, tokens and milliseconds."""
+    """Per level: questions, errors, tokens, and milliseconds with their exact percentiles."""
     return log.groupBy("level").agg(
         F.count("*").alias("questions"),
         F.count_if(F.col("correct") == 1).alias("correct"),
@@ -233,4 +241,5 @@ def run_log_stats(log: DataFrame) -> DataFrame:
         F.try_divide(F.sum("tokens"), F.count("tokens")).alias("mean_tokens"),
         F.try_divide(F.sum("ms"), F.count("ms")).alias("mean_ms"),
         F.max("ms").alias("max_ms"),
+        *[F.percentile("ms", F.lit(p / 100)).alias(f"p{p}_ms") for p in (50, 90, 95)],
     )

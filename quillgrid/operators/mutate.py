@@ -23,10 +23,17 @@ def insert_rows(table: DataFrame, rows: DataFrame, key: str, order: str, first_k
     return table.unionByName(keyed.select(*table.columns))
 
 
-def update_rows(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Overwrite the columns of ``changes`` where the key matches; a NULL there overwrites too."""
-    changed = [c for c in changes.columns if c != key]
-    renamed = changes.select(key, *[F.col(c).alias(f"__new_{c}") for c in changed], F.lit(True).alias("__matched"))
+def update_rows(table: DataFrame, changes: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """Overwrite the columns of ``changes`` where the key matches; a NULL there overwrites too.
+
+    Of several changes to one key the last by ``order`` counts; without an order they are an
+    error, as nothing tells which one is meant.
+    """
+    changed = [c for c in changes.columns if c not in (key, order)]
+    row = F.struct(*[F.col(c).alias(f"__new_{c}") for c in changed])
+    last = F.max_by(row, order) if order else F.any_value(row)
+    single = F.lit(True) if order else F.when(F.count("*") > 1, F.raise_error(F.lit(f"several changes for one {key}")).cast("boolean")).otherwise(True)
+    renamed = changes.groupBy(key).agg(last.alias("__row"), single.alias("__matched")).select(key, "__row.*", "__matched")
     joined = table.join(renamed, key, "left")
     return joined.select(*[
         F.when(F.col("__matched"), F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c) if c in changed else F.col(c)
@@ -50,8 +57,12 @@ def delete_guarded(table: DataFrame, doomed: DataFrame, children: DataFrame, key
 
 
 def kept_keys(table: DataFrame, key: str, target: int) -> DataFrame:
-    """The lowest ``target`` keys with their position, (kept_key, row_index)."""
-    return enumerate_rows(table.select(key), key).where(F.col("row_index") < target).withColumnRenamed(key, "kept_key")
+    """The lowest ``target`` keys with their position, (kept_key, row_index).
+
+    The keys are cut to the target in the tasks first, so only that many are numbered.
+    """
+    lowest = table.select(F.col(key).alias("kept_key")).orderBy("kept_key").limit(target)
+    return enumerate_rows(lowest, "kept_key")
 
 
 def shrink_to_target(table: DataFrame, kept: DataFrame, key: str) -> DataFrame:
@@ -79,6 +90,11 @@ def repoint_foreign_key(children: DataFrame, kept: DataFrame, foreign_key: str,
     return joined.select(*columns)
 
 
+def repoint_children(children: list[tuple[DataFrame, str]], kept: DataFrame) -> list[DataFrame]:
+    """Every table that refers to a shrunk parent, given as (table, foreign key), in the same order."""
+    return [repoint_foreign_key(table, kept, foreign_key) for table, foreign_key in children]
+
+
 def recompute_amount(lines: DataFrame, products: DataFrame, changed: str, product_key: str, quantity: str, amount: str, price: str) -> DataFrame:
     """Amount = quantity x price for the lines whose product has changed; the others keep theirs."""
     prices = products.select(product_key, F.col(price).alias("__price"))

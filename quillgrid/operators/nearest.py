@@ -17,7 +17,7 @@ from .ordering import top_per_group
 PLACES = 6
 BROADCAST_VALUES = 4_000_000  # 32 MB of doubles
 BLOCK_ROWS = 4096
-CELLS = 64
+LEAST_CELLS, MOST_CELLS = 64, 4096  # the pivots travel with every task
 HIT = "query_id long, item_id long, distance double"
 
 
@@ -80,13 +80,14 @@ def nearest(
     exclude_self: bool = False,
     broadcast_values: int = BROADCAST_VALUES,
     block_rows: int = BLOCK_ROWS,
-    cells: int = CELLS,
+    cells: int | None = None,
 ) -> DataFrame:
     """The ``n`` nearest corpus items per query: (query_id, item_id, distance, rank).
 
     corpus(item_id, vector), queries(query_id, vector); rows without a vector take no part. A batch of
     queries below ``broadcast_values`` numbers travels to the corpus, which is then read once
-    and not shuffled. A larger batch is joined cell by cell, see :func:`_by_cells`.
+    and not shuffled. A larger batch is joined cell by cell, see :func:`_by_cells`; the number of
+    cells follows the number of items.
     """
     corpus = corpus.select(F.col("item_id").cast("long").alias("item_id"), "vector").dropna()
     queries = queries.select(F.col("query_id").cast("long").alias("query_id"), "vector").dropna()
@@ -96,7 +97,9 @@ def nearest(
     if size["rows"] * size["width"] <= broadcast_values:
         hits = _by_broadcast(corpus, queries, n, exclude_self)
     else:
-        hits = _by_cells(corpus, queries, n, exclude_self, block_rows, cells)
+        # about a block of items per cell, so that a cell is rarely paired with itself in parts
+        wanted = cells or max(LEAST_CELLS, min(MOST_CELLS, corpus.count() // block_rows))
+        hits = _by_cells(corpus, queries, n, exclude_self, block_rows, wanted)
     return top_per_group(hits, "query_id", [F.asc("distance"), F.asc("item_id")], n)
 
 

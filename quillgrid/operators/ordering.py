@@ -65,23 +65,26 @@ def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return df.groupBy(key).agg(row.alias("__row")).select(key, "__row.*").select(*df.columns)
 
 
-def cooldown(events: DataFrame, key: str, time: str, tie: str, wait: int = vocab.COOLDOWN_SECONDS, slice: str = "hour") -> DataFrame:
+def cooldown(events: DataFrame, key: str, time: str, tie: str, wait: int = vocab.COOLDOWN_SECONDS) -> DataFrame:
     """Gap in seconds to the previous event of the same key, and the seconds still to wait.
 
-    The history of a key is cut into slices of time, so a key with very many events is spread
-    over many tasks. Within a slice ``lag`` gives the previous event; the first one of a slice
-    takes the last event of the key's previous slice from a summary with one row per key and
-    slice. A shorter slice serves denser data.
+    The events are cut into ranges of (key, time, id), so a key with very many events is spread
+    over many tasks. Within a range ``lag`` gives the previous event; the first one of a range
+    takes the last event of the range before, of which there is one row per range.
     """
-    sliced = events.withColumn("__slice", F.date_trunc(slice, F.col(time)))
-    within = Window.partitionBy(key, "__slice").orderBy(time, tie)
-    slices = sliced.groupBy(key, "__slice").agg(F.max(time).alias("__last"))
-    across = Window.partitionBy(key).orderBy("__slice")
-    before = slices.select(key, "__slice", F.lag("__last").over(across).alias("__before"))
-    previous = sliced.withColumn("__previous", F.lag(time).over(within)).join(before, [key, "__slice"], "left")
-    # events without a key have no predecessor
-    seconds = F.when(F.col(key).isNotNull(), seconds_between(F.coalesce("__previous", "__before"), F.col(time)))
-    return previous.select(
+    # an event without a key has no predecessor
+    keyed = events.where(F.col(key).isNotNull())
+    ranges = written_table(keyed.repartitionByRange(key, time, tie).withColumn("__range", F.spark_partition_id()), "ranges")
+    lasts = ranges.groupBy("__range").agg(F.max(F.struct(key, time, tie)).alias("__last"))
+    before = lasts.select("__range", F.lag("__last").over(Window.orderBy("__range")).alias("__before"))
+    within = Window.partitionBy("__range").orderBy(key, time, tie)
+    previous = F.coalesce(F.lag(F.struct(key, time, tie)).over(within), F.col("__before"))
+    joined = ranges.join(F.broadcast(before), "__range").withColumn("__previous", previous)
+    same = F.col(f"__previous.{key}") == F.col(key)
+    gaps = joined.withColumn("__seconds", F.when(same, seconds_between(F.col(f"__previous.{time}"), F.col(time))))
+    without = events.where(F.col(key).isNull()).withColumn("__seconds", F.lit(None).cast(gaps.schema["__seconds"].dataType))
+    seconds = F.col("__seconds")
+    return gaps.select(*events.columns, "__seconds").unionByName(without).select(
         *events.columns,
         seconds.alias("gap_seconds"),
         F.coalesce(seconds < wait, F.lit(False)).alias("blocked"),

@@ -34,17 +34,17 @@ class Bm25Index:
 def bm25_index(corpus: DataFrame, empty_items: DataFrame | None = None) -> Bm25Index:
     """Index corpus(item_id, text); with ``empty_items`` the postings also tell empty items apart.
 
-    The texts are hashed by id once; token counts then need no further shuffle, and the written
-    postings of one text lie together, so scoring can add them up inside a task.
+    No text is shuffled: the length is counted in the row, and terms are summed per task before
+    (item, term, count) rows are sent.
     """
-    texts = corpus.select("item_id", "text").repartition("item_id")
+    texts = corpus.select("item_id", "text")
     if empty_items is not None:
         texts = with_empty_flag(texts, empty_items)
-    tokens = token_rows(texts, "text")
     item = [c for c in texts.columns if c != "text"]
-    counted = tokens.groupBy(*item, "term").agg(F.count("*").alias("tf"))
-    length = F.sum("tf").over(Window.partitionBy("item_id"))
-    postings = written_table(counted.withColumn("length", length), "postings")
+    counted = token_rows(texts, "text").groupBy(*item, "term").agg(F.count("*").alias("tf"))
+    counted = written_table(counted, "term-counts")
+    lengths = counted.groupBy("item_id").agg(F.sum("tf").alias("length"))
+    postings = written_table(counted.join(lengths, "item_id"), "postings")
     documents = corpus.agg(F.count("*")).scalar()
     counts = postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
     raw_idf = F.log(documents - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
@@ -55,28 +55,45 @@ def bm25_index(corpus: DataFrame, empty_items: DataFrame | None = None) -> Bm25I
     return Bm25Index(postings, terms, documents, average)
 
 
-def bm25_score(index: Bm25Index, queries: DataFrame) -> DataFrame:
+def query_weights(index: Bm25Index, queries: DataFrame) -> DataFrame:
+    """(query_id, term, weight) of the query terms that the corpus knows, written once."""
+    asked = (
+        token_rows(queries.select("query_id", "text"), "text")
+        .groupBy("query_id", "term").agg(F.count("*").alias("times"))
+    )
+    asked = broadcast_if_small(written_table(asked, "asked"), QUERY_TERMS_BROADCAST)
+    weighted = index.terms.select("term", "idf").join(asked, "term")
+    return written_table(weighted.select("query_id", "term", (F.col("times") * F.col("idf")).alias("weight")), "weights")
+
+
+def bm25_score(index: Bm25Index, queries: DataFrame, weights: DataFrame | None = None) -> DataFrame:
     """Okapi BM25 of queries(query_id, text): (query_id, item_id, score) for every matching item.
 
     Items that share no term with a query score 0 and are left out. A repeated query term counts
     each time. Scores are rounded, so that equal texts have equal scores.
+
+    Postings of query terms are dealt by item once; the pairs of one item are then added up where
+    they are made, so what is shuffled follows the postings and not the pairs. The pairs are many:
+    take bounds or the best of them in the same pass, as :func:`bm25_top` does.
     """
-    asked = (
-        token_rows(queries.select("query_id", "text"), "text")
-        .groupBy("query_id", "term").agg(F.count("*").alias("times"))
-    )
-    weighted = (
-        index.terms.select("term", "idf").join(broadcast_if_small(asked, QUERY_TERMS_BROADCAST), "term")
-        .select("query_id", "term", (F.col("times") * F.col("idf")).alias("weight"))
-    )
-    # one row per query term, and no more than `asked` has
-    weighted = broadcast_if_small(weighted, QUERY_TERMS_BROADCAST)
+    weighted = query_weights(index, queries) if weights is None else weights
     k1, b = vocab.BM25_K1, vocab.BM25_B
     norm = k1 * (1 - b + b * F.col("length") / index.average_length)
-    part = F.col("weight") * F.col("tf") * (k1 + 1) / (F.col("tf") + norm)
-    score = F.round(F.sum(part), PLACES).alias("score")
+    per_term = index.postings.withColumn("part", F.col("tf") * (k1 + 1) / (F.col("tf") + norm)).drop("tf", "length")
+    asked = broadcast_if_small(written_table(weighted.select("term").distinct(), "asked-terms"), QUERY_TERMS_BROADCAST)
+    dealt = per_term.join(asked, "term", "left_semi").repartition("item_id")
+    score = F.round(F.sum(F.col("weight") * F.col("part")), PLACES).alias("score")
     flag = [F.max("empty").alias("empty")] if "empty" in index.postings.columns else []
-    return index.postings.join(weighted, "term").groupBy("query_id", "item_id").agg(score, *flag)
+    matched = dealt.join(broadcast_if_small(weighted, QUERY_TERMS_BROADCAST), "term")
+    return matched.groupBy("query_id", "item_id").agg(score, *flag)
+
+
+def bm25_top(index: Bm25Index, queries: DataFrame, k: int) -> DataFrame:
+    """The best ``k`` matching items per query: (query_id, item_id, score, rank); ties by item.
+
+    Each task keeps its best ``k`` per query before anything is sent.
+    """
+    return top_per_group(bm25_score(index, queries), "query_id", [F.desc("score"), F.asc("item_id")], k)
 
 
 # ---- normalisation and fusion ----------------------------------------------------------------
@@ -97,26 +114,24 @@ def minmax_normalize(scores: DataFrame, group: str = "query_id", value: str = "s
     )
 
 
-def lexical_normalize(scores: DataFrame, queries: DataFrame, documents: Column) -> tuple[DataFrame, DataFrame]:
-    """Scale BM25 scores over the whole corpus, where unmatched items count as 0.
+def lexical_bounds(scores: DataFrame, documents: Column) -> DataFrame:
+    """(query_id, low, high) of the BM25 scores over the whole corpus, where unmatched items count as 0.
 
-    Returns the scores with ``bm25`` instead, and (query_id, unmatched) with the scaled value of an item
-    without a score for the queries that have any.
+    Summed in the tasks that make the scores: one row per query and task is shuffled.
     """
     seen = scores.groupBy("query_id").agg(
         F.min("score").alias("low"), F.max("score").alias("high"), F.count("*").alias("matched")
     )
     some_unmatched = F.col("matched") < documents
-    bounds = seen.select(
+    return written_table(seen.select(
         "query_id",
         F.when(some_unmatched, F.least("low", F.lit(0.0))).otherwise(F.col("low")).alias("low"),
         F.when(some_unmatched, F.greatest("high", F.lit(0.0))).otherwise(F.col("high")).alias("high"),
-    )
-    if queries.limit(SUMMARY_BROADCAST + 1).count() <= SUMMARY_BROADCAST:
-        bounds = F.broadcast(bounds)  # one row per query
-    scaled = lambda value: F.round(scale(value, F.col("low"), F.col("high")), PLACES)
-    text_side = scores.join(bounds, "query_id").withColumn("bm25", scaled(F.col("score"))).drop("score", "low", "high", "matched")
-    return text_side, bounds.select("query_id", scaled(F.lit(0.0)).alias("unmatched"))
+    ), "bounds")
+
+
+def scaled_score(value: Column) -> Column:
+    return F.round(scale(value, F.col("low"), F.col("high")), PLACES)
 
 
 def merge_scores(left: DataFrame, right: DataFrame, left_value: str, right_value: str) -> DataFrame:
@@ -143,48 +158,65 @@ def hybrid_hits(
     unmatched item, as far as they are needed to fill up ``k``.
     """
     total = vectors.count()
-    fetched = nearest(vectors, queries.select("query_id", "vector"), min(max(5 * k, 30), total))
+    with_vector = queries.select("query_id", "vector").where(F.col("vector").isNotNull())
+    fetched = nearest(vectors, with_vector, min(max(5 * k, 30), max(total, 1)))
     similarity = fetched.select("query_id", "item_id", (1 - F.col("distance")).alias("score"))
-    # written, as the rest of the plan reads these tables more than once
+    # a few dozen rows per query; the rest of the plan reads them more than once
     near = written_table(minmax_normalize(similarity, out="vector").drop("score"), "near")
     # flagged per item here, where it costs one row per item and not one per match
     index = bm25_index(corpus, empty_items)
-    scores = written_table(bm25_score(index, queries), "scores")
-    text_side, unmatched = lexical_normalize(scores, queries, index.documents)
-    best = _fuse(near, text_side, unmatched, empty_items, k)
+    weights = query_weights(index, queries)
+    scores = bm25_score(index, queries, weights)  # computed in each pass, never stored
+    bounds = lexical_bounds(scores, index.documents)
+    unmatched = bounds.select("query_id", scaled_score(F.lit(0.0)).alias("unmatched"))
+    best = _fuse(near, scores, bounds, empty_items, k)
     top = written_table(populated_first(best, "query_id", k, F.desc("score")), "fused")
-    short = _queries_to_fill(queries, top, unmatched, k)
+    short = written_table(_queries_to_fill(queries, top, unmatched, k), "short")
     if short.isEmpty():
         return top
     items = corpus.select("item_id").union(vectors.select("item_id")).distinct()
-    scored = near.select("query_id", "item_id").union(scores.select("query_id", "item_id")).distinct()
-    filled = _first_unscored(with_empty_flag(items, empty_items), scored.join(short, "query_id", "left_semi"), short, k)
+    few = bm25_score(index, queries, weights.join(short.select("query_id"), "query_id", "left_semi"))
+    scored = near.join(short, "query_id", "left_semi").select("query_id", "item_id").union(few.select("query_id", "item_id")).distinct()
+    filled = _first_unscored(with_empty_flag(items, empty_items), scored, short, k)
     return populated_first(top.drop("rank").unionByName(filled), "query_id", k, F.desc("score"))
 
 
-def _fuse(near: DataFrame, text_side: DataFrame, unmatched: DataFrame, empty_items: DataFrame, k: int) -> DataFrame:
+def _fuse(near: DataFrame, scores: DataFrame, bounds: DataFrame, empty_items: DataFrame, k: int) -> DataFrame:
     """All vector hits, and the best ``k`` text matches that are no vector hit, with fused scores.
 
-    A query has at most a few dozen vector hits but may match most of the corpus. The hits go to
-    the matches, not the other way round, and each task keeps its best ``k`` matches per query,
-    so the matches themselves are not shuffled.
+    A query has at most a few dozen vector hits but may match most of the corpus. In one pass
+    over the scores each task marks the matches that are hits and keeps its best ``k`` others per
+    query; only those rows are shuffled.
     """
     keys = ["query_id", "item_id"]
-    near_keys = broadcast_if_small(near.select(keys), SUMMARY_BROADCAST)
-    of_near = text_side.join(near_keys, keys, "left_semi")
+    scaled = scores.join(broadcast_if_small(bounds, SUMMARY_BROADCAST), "query_id").select(
+        *keys, scaled_score(F.col("score")).alias("bm25"), "empty"
+    )
+    near_keys = broadcast_if_small(near.select(*keys, F.col("vector").alias("near")), SUMMARY_BROADCAST)
+    marked = scaled.join(near_keys, keys, "left").withColumn("hit", F.col("near").isNotNull())
+    score = hybrid_score(F.coalesce("near", F.lit(0.0)), F.col("bm25"))
+    # hits come first in the rank and are no more than near has, so they never push a match out
+    limit = k + near.groupBy("query_id").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    window = Window.partitionBy("query_id").orderBy(F.desc("hit"), F.asc("empty"), F.desc("__score"), F.asc("item_id"))
+    ranked = marked.withColumn("__score", score).withColumn("__rank", F.row_number().over(window)).where(F.col("__rank") <= limit)
+    kept = written_table(ranked.select(*keys, F.col("__score").alias("score"), "near", "bm25", "empty", "hit"), "matches")
+    unmatched = bounds.select("query_id", scaled_score(F.lit(0.0)).alias("unmatched"))
+    of_near = kept.where("hit").select(*keys, "bm25")
     hits = near.join(of_near, keys, "left").join(unmatched, "query_id", "left").select(
         *keys, "vector", F.coalesce("bm25", "unmatched", F.lit(0.0)).alias("bm25")
     )
-    score = hybrid_score(F.col("vector"), F.col("bm25")).alias("score")
-    others = text_side.join(near_keys, keys, "left_anti").withColumn("vector", F.lit(0.0))
-    best_others = populated_first(others.select(*keys, score, "vector", "bm25", "empty"), "query_id", k, F.desc("score"))
-    flagged = with_empty_flag(hits.select(*keys, score, "vector", "bm25"), empty_items)
-    return flagged.unionByName(best_others.drop("rank"))
+    flagged = with_empty_flag(hits.select(*keys, hybrid_score(F.col("vector"), F.col("bm25")).alias("score"), "vector", "bm25"), empty_items)
+    others = kept.where("NOT hit").select(*keys, "score", F.lit(0.0).alias("vector"), "bm25", "empty")
+    return flagged.unionByName(others)
 
 
 def with_empty_flag(rows: DataFrame, empty_items: DataFrame) -> DataFrame:
-    """Add ``empty``: true for the listed items, false for all others."""
-    flags = empty_items.select("item_id").distinct().withColumn("empty", F.lit(True))
+    """Add ``empty``: true for the listed items, false for all others.
+
+    The list is written, so the join reads two plain tables and adaptive execution can split an
+    item with very many rows.
+    """
+    flags = written_table(empty_items.select("item_id").distinct(), "empty-items").withColumn("empty", F.lit(True))
     return rows.join(flags, "item_id", "left").withColumn("empty", F.coalesce("empty", F.lit(False)))
 
 
@@ -201,28 +233,36 @@ def _queries_to_fill(queries: DataFrame, top: DataFrame, unmatched: DataFrame, k
     )
 
 
-def _first_unscored(items: DataFrame, scored: DataFrame, short: DataFrame, k: int) -> DataFrame:
+def _first_unscored(items: DataFrame, scored: DataFrame, short: DataFrame, k: int, block: int = 256) -> DataFrame:
     """The first ``k`` items per query, populated ones first, that have no score yet.
 
-    The items are numbered once; the free numbers are read off the gaps between a query's scored
-    ones, so no query is paired with the whole corpus.
+    The items are numbered once and their numbers cut into blocks. Per query the scored numbers
+    are only counted by block, which tells the full blocks; the first ``k`` others hold the
+    answer, so a query is compared with ``k`` blocks of items, however many it has scored.
     """
     numbered = enumerate_rows(items, "empty", "item_id", name="position")
-    taken = scored.select("query_id", "item_id").join(numbered.select("item_id", "position"), "item_id").select("query_id", "position")
-    last = numbered.agg(F.count("*")).scalar()
-    marks = taken.unionByName(short.select("query_id", last.alias("position")))
-    window = Window.partitionBy("query_id").orderBy("position")
+    taken = written_table(
+        scored.join(numbered.select("item_id", "position"), "item_id")
+        .select("query_id", "position", F.floor(F.col("position") / block).cast("long").alias("block")), "taken",
+    )
+    total = numbered.agg(F.count("*")).first()[0]
+    blocks = -(-total // block)
+    size = F.least(F.lit(block), F.lit(total) - F.col("block") * block)
+    full = taken.groupBy("query_id", "block").agg(F.count("*").alias("n")).where(F.col("n") == size).select("query_id", "block")
+    # the first k numbers that are not full blocks, read off the gaps between those that are
+    marks = full.unionByName(short.select("query_id", F.lit(blocks).cast("long").alias("block")))
+    window = Window.partitionBy("query_id").orderBy("block")
     gaps = marks.select(
-        "query_id",
-        (F.coalesce(F.lag("position").over(window), F.lit(-1)) + 1).alias("start"),
-        F.col("position").alias("stop"),
+        "query_id", (F.coalesce(F.lag("block").over(window), F.lit(-1)) + 1).alias("start"), F.col("block").alias("stop"),
         (F.row_number().over(window) - 1).alias("before"),
     )
-    free_before = F.col("start") - F.col("before")
-    length = F.least(F.col("stop") - F.col("start"), F.lit(k) - free_before)
-    free = gaps.where(length > 0).select("query_id", F.explode(F.sequence(F.col("start"), F.col("start") + length - 1)).alias("position"))
+    length = F.least(F.col("stop") - F.col("start"), F.lit(k) - (F.col("start") - F.col("before")))
+    open_blocks = gaps.where(length > 0).select("query_id", F.explode(F.sequence(F.col("start"), F.col("start") + length - 1)).alias("block"))
+    places = open_blocks.select("query_id", F.explode(F.sequence(F.col("block") * block, F.least((F.col("block") + 1) * block, F.lit(total)) - 1)).alias("position"))
+    free = places.join(taken.select("query_id", "position"), ["query_id", "position"], "left_anti")
+    first = top_per_group(free, "query_id", [F.asc("position")], k).drop("rank")
     return (
-        free.join(numbered, "position").join(short, "query_id")
+        first.join(numbered, "position").join(short, "query_id")
         .select(
             "query_id", "item_id",
             hybrid_score(F.lit(0.0), F.col("unmatched")).alias("score"),
@@ -289,5 +329,10 @@ def retrieve_values(values: DataFrame, queries: DataFrame, allowed: DataFrame, k
 
 
 def match_saved_answers(questions: DataFrame, saved: DataFrame) -> DataFrame:
-    """Look questions up among saved ones after normalising both: questions(.., text), saved(question_key, ..)."""
-    return questions.withColumn("question_key", normalize_question(F.col("text"))).join(saved, "question_key")
+    """Look questions up among saved ones after normalising both: questions(.., text), saved(question_key, ..).
+
+    The saved side is written, so the join reads two plain tables and adaptive execution can
+    split a question that is asked very often.
+    """
+    keyed = questions.withColumn("question_key", normalize_question(F.col("text")))
+    return keyed.join(written_table(saved, "saved-answers"), "question_key")

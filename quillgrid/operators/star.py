@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from ..functions import vocab
 from ..functions.dates import in_month, month_text
-from ..session import written_table
+from ..session import broadcast_if_small, written_table
+
+KEYS_BROADCAST = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -151,16 +153,14 @@ def orders_by_customer(star: Star) -> DataFrame:
 def products_of_customer(star: Star, name: str) -> DataFrame:
     """Distinct names of the products that one customer ordered.
 
-    The name filter makes the first side small; adaptive execution turns the joins into
-    broadcasts once its size is known.
+    The keys of one step go into the scan of the next by a checked broadcast, so no fact is
+    shuffled to find a few of them; keys beyond the bound are joined by a shuffle.
     """
-    chosen = star.customers.where(F.col("customer_name") == name).select("customer_id")
-    bought = (
-        star.orders.select("order_id", "customer_id").join(chosen, "customer_id", "left_semi")
-        .join(star.lines.select("order_id", "product_id"), "order_id")
-        .select("product_id").distinct()
-    )
-    return star.products.join(bought, "product_id").select("product_name").distinct()
+    into = lambda keys, name: broadcast_if_small(written_table(keys.distinct(), name), KEYS_BROADCAST)
+    chosen = into(star.customers.where(F.col("customer_name") == name).select("customer_id"), "chosen")
+    orders = into(star.orders.join(chosen, "customer_id", "left_semi").select("order_id"), "orders")
+    bought = into(star.lines.join(orders, "order_id", "left_semi").select("product_id"), "bought")
+    return star.products.join(bought, "product_id", "left_semi").select("product_name").distinct()
 
 
 def orders_by_state(star: Star, customers: DataFrame, n: int = 10) -> DataFrame:

@@ -14,6 +14,16 @@ from .registry import query
 END_DATE = "2025-12-31"
 TARGET_CUSTOMERS = 1000
 TARGET_PARTS = 1500
+TARGET_SUPPLIERS = 50
+
+# The first keys of empty tables.
+FIRST_CUSTOMER, FIRST_PRODUCT, FIRST_EMPLOYEE, FIRST_ORDER = 101, 1, 1, 5001
+
+
+def next_key(table: DataFrame, key: str, first: int) -> tuple[int, int]:
+    """The key after the highest one, or ``first`` in an empty table; and the number of rows."""
+    facts = table.agg(F.max(key).alias("last"), F.count("*").alias("rows")).first()
+    return (first if facts["last"] is None else facts["last"] + 1), facts["rows"]
 
 # ---- maintenance -----------------------------------------------------------------------------
 
@@ -75,6 +85,32 @@ def repoint_fk(t: Tables) -> DataFrame:
     return mutate.repoint_foreign_key(t.orders.select("o_orderkey", "o_custkey"), kept, "o_custkey")
 
 
+@query("repoint_suppliers", f"""
+WITH {kept_sql('supplier', 's_suppkey', TARGET_SUPPLIERS)}
+SELECT l_orderkey, l_linenumber, CASE WHEN l_suppkey IN (SELECT k FROM kept) THEN l_suppkey
+  ELSE (SELECT k FROM kept WHERE i = (l_suppkey - 1) % (SELECT count(*) FROM kept)) END AS l_suppkey FROM lineitem""")
+def repoint_suppliers(t: Tables) -> DataFrame:
+    """The children of shrunk suppliers."""
+    kept = mutate.kept_keys(t.supplier, "s_suppkey", TARGET_SUPPLIERS)
+    (lines,) = mutate.repoint_children([(t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey"), "l_suppkey")], kept)
+    return lines
+
+
+@query("repoint_children", f"""
+WITH {kept_sql('customer', 'c_custkey', TARGET_CUSTOMERS)},
+c AS (SELECT 'orders' AS child, o_orderkey AS row_key, o_custkey AS old FROM orders
+      UNION ALL SELECT 'labels', doc_id, doc_id + 1 FROM labels)
+SELECT child, row_key, CASE WHEN old IN (SELECT k FROM kept) THEN old
+  ELSE (SELECT k FROM kept WHERE i = (old - 1) % (SELECT count(*) FROM kept)) END AS customer FROM c""")
+def repoint_children(t: Tables) -> DataFrame:
+    """Two tables that refer to the customers: the orders, and the labels as if they named a customer."""
+    kept = mutate.kept_keys(t.customer, "c_custkey", TARGET_CUSTOMERS)
+    orders = t.orders.select(F.lit("orders").alias("child"), F.col("o_orderkey").alias("row_key"), F.col("o_custkey").alias("customer"))
+    labels = t.labels.select(F.lit("labels").alias("child"), F.col("doc_id").alias("row_key"), (F.col("doc_id") + 1).alias("customer"))
+    first, second = mutate.repoint_children([(orders, "customer"), (labels, "customer")], kept)
+    return first.unionByName(second)
+
+
 @query("recompute_amount", f"""
 WITH {kept_sql('part', 'p_partkey', TARGET_PARTS)},
 moved AS (SELECT l.*, CASE WHEN l_partkey IN (SELECT k FROM kept) THEN l_partkey
@@ -141,18 +177,18 @@ SELECT (SELECT max(o_orderkey) FROM orders) + 1 + i AS ord_id, c_custkey AS cust
        CAST({sql_list(vocab.STATUS_CYCLE)}[i % 6 + 1] AS INTEGER) AS stat_cd
 FROM r JOIN c ON ci = i % cn JOIN p ON pi = (i * 7) % pn""")
 def fill_core_rows(t: Tables) -> DataFrame:
-    facts = t.orders.agg(F.max("o_orderkey").alias("last"), F.count("*").alias("rows")).first()
+    first, rows = next_key(t.orders, "o_orderkey", FIRST_ORDER)
     customers = t.customer.select(F.col("c_custkey").alias("cust_id"))
     products = t.part.select(F.col("p_partkey").alias("prod_id"), F.col("p_retailprice").alias("unit_prc"))
-    return synth.fill_orders(t.spark, customers, products, facts["last"] + 1, facts["rows"], END_DATE)
+    return synth.fill_orders(t.spark, customers, products, first, rows, END_DATE)
 
 
 @query("fill_core_customers", f"""
 WITH {range_sql('customer')}, s AS (SELECT *, (SELECT max(c_custkey) FROM customer) + 1 + i AS id FROM r)
 SELECT id AS cust_id, {PERSON} || ' ' || id AS cust_nm, {STATE_CODES}[i % 6 + 1] AS st_cd, {city_sql(6)} AS city_nm, {date_sql('i', 'n')} AS crtd_dt FROM s""")
 def fill_core_customers(t: Tables) -> DataFrame:
-    facts = t.customer.agg(F.max("c_custkey").alias("last"), F.count("*").alias("rows")).first()
-    return synth.fill_customers(t.spark, facts["last"] + 1, facts["rows"], END_DATE)
+    first, rows = next_key(t.customer, "c_custkey", FIRST_CUSTOMER)
+    return synth.fill_customers(t.spark, first, rows, END_DATE)
 
 
 @query("fill_core_products", f"""
@@ -161,8 +197,8 @@ SELECT id AS prod_id, {sql_list([p[0] for p in vocab.PRODUCTS])}[i % 8 + 1] || '
        {sql_list([p[1] for p in vocab.PRODUCTS])}[i % 8 + 1] AS cat_cd,
        round({sql_list([p[2] for p in vocab.PRODUCTS])}[i % 8 + 1] * CAST(0.85 + (i % 31) / 100 AS DOUBLE), 2) AS unit_prc FROM s""")
 def fill_core_products(t: Tables) -> DataFrame:
-    facts = t.part.agg(F.max("p_partkey").alias("last"), F.count("*").alias("rows")).first()
-    return synth.fill_products(t.spark, facts["last"] + 1, facts["rows"])
+    first, rows = next_key(t.part, "p_partkey", FIRST_PRODUCT)
+    return synth.fill_products(t.spark, first, rows)
 
 
 @query("fill_core_employees", f"""
@@ -170,8 +206,8 @@ WITH {range_sql('supplier')}, s AS (SELECT *, (SELECT max(s_suppkey) FROM suppli
 SELECT id AS emp_id, {PERSON} || ' ' || id AS emp_nm, {sql_list(vocab.DEPARTMENTS)}[i % 6 + 1] AS dept_cd,
        CAST(42000 + (i % 16) * 6500 AS DOUBLE) AS sal, {date_sql('i', 'n')} AS join_dt FROM s""")
 def fill_core_employees(t: Tables) -> DataFrame:
-    facts = t.supplier.agg(F.max("s_suppkey").alias("last"), F.count("*").alias("rows")).first()
-    return synth.fill_employees(t.spark, facts["last"] + 1, facts["rows"], END_DATE)
+    first, rows = next_key(t.supplier, "s_suppkey", FIRST_EMPLOYEE)
+    return synth.fill_employees(t.spark, first, rows, END_DATE)
 
 
 @query("fill_core_states", f"""
@@ -218,5 +254,5 @@ def respread_dates(t: Tables) -> DataFrame:
 WITH latest AS (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
 SELECT event_type, count(*) AS users, round(sum(value), 2) AS value FROM latest GROUP BY event_type""")
 def stream_refresh(t: Tables) -> DataFrame:
-    """The events file arrives as a stream of changes; the answer is the saved summary."""
-    return refresh_events(t.spark, t.folder, t.events.schema)
+    """The events table arrives as a stream of changes; the answer is the saved summary."""
+    return refresh_events(t.spark, f"{t.folder}/events.parquet", t.events.schema)

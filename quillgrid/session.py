@@ -48,9 +48,20 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The folder in the shared one that holds all intermediate tables of this application."""
+    return os.path.join(shared_dir(spark), f"quillgrid-{spark.sparkContext.applicationId}")
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(run_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def drop_run_tables(spark: SparkSession) -> bool:
+    """Remove the intermediate tables of this application, once their results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written_table(df: DataFrame, name: str) -> DataFrame:

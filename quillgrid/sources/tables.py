@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions import vocab
 from ..functions.text import normalize_question
+from ..operators.ordering import enumerate_rows
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -130,9 +131,14 @@ def last_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.max(ranked).alias("last")).select(*keys, "last.row.*")
 
 
-def answer_rows(spark: SparkSession, sql: str, question: str) -> DataFrame:
-    """Result of one saved query as rows (question, columns, cells)."""
-    result = spark.sql(sql)
+def answer_rows(spark: SparkSession, sql: str, question: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """Result of one saved query as rows (question, columns, cells).
+
+    A saved query names its tables as ``{orders}``; the frames are passed with it, so no view of
+    the session is replaced.
+    """
+    used = {name: frame for name, frame in tables.items() if f"{{{name}}}" in sql}
+    result = spark.sql(sql, **used)
     cells = F.array(*[F.col(f"`{c}`").cast("string") for c in result.columns])
     return result.select(
         F.lit(question).alias("question"),
@@ -141,21 +147,39 @@ def answer_rows(spark: SparkSession, sql: str, question: str) -> DataFrame:
     )
 
 
-def refresh_answers(spark: SparkSession, saved: list[tuple[str, str]], base: str, version: int) -> DataFrame:
-    """Run every saved (question, sql) again and write the results as a new version.
+def refresh_answers(spark: SparkSession, saved: list[tuple[str, str]], tables: dict[str, DataFrame], base: str, version: int) -> DataFrame:
+    """Run every saved (question, sql) again over ``tables`` and write the results as a new version.
 
     Readers move to the new folder only after it is complete. Rows stay rows: no answer is
     gathered into a single value.
     """
     path = f"{base}/v={version}"
-    answers = [answer_rows(spark, sql, question) for question, sql in saved]
+    answers = [answer_rows(spark, sql, question, tables) for question, sql in saved]
     reduce(DataFrame.unionByName, answers).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-def page(df: DataFrame, key: Column | str, number: int, size: int) -> DataFrame:
-    """The ``number``-th page (from 1) in key order."""
-    return df.orderBy(key).offset((number - 1) * size).limit(size)
+def page(df: DataFrame, key: str, number: int, size: int, near_rows: int = 100_000) -> DataFrame:
+    """The ``number``-th page (from 1) in key order; equal keys in any order.
+
+    A page within the first ``near_rows`` rows is a top-n. For a deeper one the keys alone are
+    numbered over all tasks, and only the rows between the page's keys are sorted.
+    """
+    skip = (number - 1) * size
+    if skip + size <= near_rows:
+        return df.orderBy(key).offset(skip).limit(size)
+    keys = enumerate_rows(df.select(F.col(key).alias("__key")), "__key", name="__at")
+    found = keys.where((F.col("__at") >= skip) & (F.col("__at") < skip + size)).agg(
+        F.count("*").alias("rows"), F.min("__key").alias("low"), F.max("__key").alias("high"), F.count_if(F.col("__key").isNull()).alias("nulls")
+    ).first()
+    if not found.rows:
+        return df.limit(0)
+    upto = F.lit(False) if found.high is None else F.col(key) <= found.high
+    if found.nulls:  # null keys come first, so no other key stands before the page
+        return df.where(F.col(key).isNull() | upto).orderBy(key).offset(skip).limit(size)
+    # rows with the page's first key may begin on the page before
+    earlier = keys.where((F.col("__key") == F.lit(found.low)) & (F.col("__at") < skip)).count()
+    return df.where((F.col(key) >= found.low) & upto).orderBy(key).offset(earlier).limit(size)
 
 
 def page_after(df: DataFrame, key: str, last_key, size: int) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,12 +30,16 @@ class StreamRefresh:
         return f"{self.base}/checkpoint"
 
 
-def change_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
-    """Change files of a folder as a stream; the schema is given, not inferred."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+def change_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
+    """Change files as a stream: a folder of files or one file. The schema is given, not inferred.
+
+    The path is given as a pattern that only it fits, since a plain path has to be a folder.
+    """
+    reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    path = path.rstrip("/")
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def apply_batch(target: StreamRefresh, key: str, order: list[str], summarize):
@@ -57,8 +62,11 @@ def apply_batch(target: StreamRefresh, key: str, order: list[str], summarize):
     return step
 
 
-def run_refresh(changes: DataFrame, target: StreamRefresh, key: str, order: list[str], summarize) -> int:
-    """Apply all available change files and stop. Returns the newest version, also if none was new."""
+def run_refresh(changes: DataFrame, target: StreamRefresh, key: str, order: list[str], summarize) -> int | None:
+    """Apply all available change files and stop.
+
+    Returns the newest version, also if no file was new, and None as long as there was none at all.
+    """
     query = (
         changes.writeStream.foreachBatch(apply_batch(target, key, order, summarize))
         .option("checkpointLocation", target.checkpoint)
@@ -66,15 +74,25 @@ def run_refresh(changes: DataFrame, target: StreamRefresh, key: str, order: list
         .start()
     )
     query.awaitTermination()
-    versions = changes.sparkSession.read.parquet(f"{target.base}/answers")
+    try:
+        versions = changes.sparkSession.read.parquet(f"{target.base}/answers")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
     return versions.agg(F.max("v")).first()[0]
 
 
-def refresh_events(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "events.parquet") -> DataFrame:
-    """Latest event per user, kept from the change files, and its saved summary per event type."""
-    target = StreamRefresh(new_path(spark, "refresh"))
+def refresh_events(spark: SparkSession, path: str, schema: T.StructType, base: str | None = None) -> DataFrame:
+    """Latest event per user, kept from the change files, and its saved summary per event type.
+
+    A later call with the same ``base`` goes on from the files that the first one has applied.
+    """
+    target = StreamRefresh(base or new_path(spark, "refresh"))
     summarize = lambda state: state.groupBy("event_type").agg(
         F.count("*").alias("users"), F.round(F.sum("value"), 2).alias("value")
     )
-    version = run_refresh(change_stream(spark, folder, schema, pattern), target, "user_id", ["ts", "event_id"], summarize)
+    version = run_refresh(change_stream(spark, path, schema), target, "user_id", ["ts", "event_id"], summarize)
+    if version is None:
+        return summarize(spark.createDataFrame([], schema))
     return spark.read.parquet(target.answers(version))

@@ -12,7 +12,7 @@ from quillgrid.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.enabled": "false"}
+        "tests", os.environ.get("TEST_MASTER", "local[8]"), **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.enabled": "false"}
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

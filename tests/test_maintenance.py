@@ -174,3 +174,35 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     once = sorted(tuple(r) for r in spark.read.parquet(target.answers(2)).collect())
     step(second, 1)
     assert sorted(tuple(r) for r in spark.read.parquet(target.answers(2)).collect()) == once == [("x", 2, 6.0)]
+
+
+def test_several_changes_of_one_key(spark):
+    import pytest
+
+    table = spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string")
+    changes = spark.createDataFrame([(1, "first", 1), (1, "last", 2)], "id long, name string, at long")
+    assert sorted(tuple(r) for r in mutate.update_rows(table, changes, "id", order="at").collect()) == [(1, "last"), (2, "b")]
+    with pytest.raises(Exception, match="several changes"):
+        mutate.update_rows(table, changes.drop("at"), "id").collect()
+
+
+def test_first_keys_of_empty_tables(spark, tmp_path):
+    from quillgrid.plans import QUERIES
+    from quillgrid.plans.maintenance import FIRST_ORDER, next_key
+
+    source = "/root/testdata/sf0.001"
+    for table in ("orders", "customer", "part", "supplier"):
+        rows = spark.read.parquet(f"{source}/{table}.parquet")
+        (rows.limit(0) if table != "part" else rows).write.parquet(f"{tmp_path}/{table}.parquet")
+    assert next_key(spark.read.parquet(f"{tmp_path}/orders.parquet"), "o_orderkey", FIRST_ORDER) == (5001, 0)
+    for name in ("fill_core_rows", "fill_core_customers", "fill_core_employees"):
+        assert QUERIES[name](spark, str(tmp_path)).collect() == []
+
+
+def test_all_children_follow_a_shrunk_parent(spark):
+    kept = mutate.kept_keys(spark.createDataFrame([(k,) for k in (9, 3, 5, 7)], "k long"), "k", 2)
+    one = spark.createDataFrame([(1, 3), (2, 7), (3, None)], "id long, fk long")
+    two = spark.createDataFrame([("x", "9"), ("y", "none")], "id string, parent string")
+    first, second = mutate.repoint_children([(one, "fk"), (two, "parent")], kept)
+    assert sorted((r.id, r.fk) for r in first.collect()) == [(1, 3), (2, 3), (3, None)]
+    assert sorted((r.id, r.parent) for r in second.collect()) == [("x", "3"), ("y", "none")]
