@@ -31,6 +31,12 @@ GRAM = 16  # bytes of a trigger
 CHUNK = 1 << 21  # bytes that are hashed at once
 FLUSH = 1 << 24  # bytes whose phrases are reduced and sent together
 BUCKET = 1 << 24  # bytes of text per bucket of triggers
+# A trigger with so many different phrases in one flush, or open ones in all, is spread over tasks.
+HOT_IN_FLUSH = 64
+HOT_IN_ALL = 10_000
+# What a flush knows of a phrase: nothing, that a smaller document has it, that it is one of very
+# many of its trigger; and a mark that such a trigger exists.
+NEW, KNOWN, CROWDED, CROWD = range(4)
 BASE = 0x9E3779B97F4A7C15 | 1
 LOW = np.uint64(0xFFFFFFFF)
 CODES = np.random.Generator(np.random.PCG64(11)).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -133,10 +139,12 @@ def unpacked(blob: bytes) -> dict[str, np.ndarray]:
     return out
 
 
-def parse(texts: DataFrame, length: int, buckets: int) -> DataFrame:
+def parse(texts: DataFrame, length: int, buckets: int, hot: int = HOT_IN_FLUSH) -> DataFrame:
     """(bucket, entries): the phrases of all texts, sent to the bucket of their trigger.
 
     Phrases known from a smaller document of the same flush are only marked, and go to any bucket.
+    A trigger with very many phrases sends them by phrase and a mark of itself by trigger: the
+    phrases are open for certain, and so are those that another flush sends by trigger.
     """
     schema = arrow_schema("bucket int, entries binary")
 
@@ -149,9 +157,20 @@ def parse(texts: DataFrame, length: int, buckets: int) -> DataFrame:
         new = np.concatenate([[True], (t[1:] != t[:-1]) | (p[1:] != p[:-1])])
         smallest = d[np.flatnonzero(new)][np.cumsum(new) - 1]
         known = np.empty(len(order), np.uint8)
-        known[order] = d > smallest
+        known[order] = np.where(d > smallest, KNOWN, NEW)
+        starts = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
+        kinds = np.add.reduceat(new.astype(np.int64), starts)
+        crowds = t[starts[kinds >= hot]]
+        if len(crowds):
+            crowded = np.isin(trigger, crowds)
+            known[crowded & (known == NEW)] = CROWDED
+            mark = np.zeros(len(crowds), np.int64)
+            trigger, phrase = np.concatenate([trigger, crowds]), np.concatenate([phrase, mark.astype(np.uint64)])
+            ids, variant, first, span = (np.concatenate([a, mark.astype(a.dtype)]) for a in (ids, variant, first, span))
+            known = np.concatenate([known, np.full(len(crowds), CROWD, np.uint8)])
         anywhere = mixed(ids.astype(np.uint64) * np.uint64(BASE) + first.astype(np.uint64))
-        bucket = (np.where(known > 0, anywhere, trigger) % np.uint64(buckets)).astype(np.int64)
+        route = np.where(known == KNOWN, anywhere, np.where(known == CROWDED, mixed(phrase + trigger), trigger))
+        bucket = (route % np.uint64(buckets)).astype(np.int64)
         columns = {
             "mark": trigger >> np.uint64(32), "high": phrase >> np.uint64(32), "low": phrase & np.uint64(0xFFFF),
             "id": ids, "variant": variant, "first": first, "span": span, "known": known,
@@ -194,12 +213,12 @@ def dictionary(entries: DataFrame) -> DataFrame:
     def settle(table: pa.Table) -> pa.Table:
         parts = [unpacked(b.as_py()) for b in table["entries"]]
         e = {name: np.concatenate([p[name] for p in parts]) for name, _ in ENTRY}
-        bucket = table["bucket"][0].as_py()
-        order = np.lexsort((e["id"], e["low"], e["high"], e["mark"], e["known"]))
-        e = {name: column[order] for name, column in e.items()}
-        live = e["known"] == 0
-        same_mark = (e["mark"][1:] == e["mark"][:-1]) & live[1:] & live[:-1]
-        same = same_mark & (e["high"][1:] == e["high"][:-1]) & (e["low"][1:] == e["low"][:-1])
+        way = np.where(e["known"] == CROWD, NEW, e["known"])  # marks stand beside the phrases sent by trigger
+        order = np.lexsort((e["id"], e["known"] == CROWD, e["low"], e["high"], e["mark"], way))
+        e, way = {name: column[order] for name, column in e.items()}, way[order]
+        live, crowd = way != KNOWN, e["known"] == CROWD
+        same_mark = (e["mark"][1:] == e["mark"][:-1]) & (way[1:] == way[:-1]) & live[1:]
+        same = same_mark & (e["high"][1:] == e["high"][:-1]) & (e["low"][1:] == e["low"][:-1]) & (crowd[1:] == crowd[:-1])
         new = np.concatenate([[True], ~same])
         smallest = e["id"][np.flatnonzero(new)][np.cumsum(new) - 1]
         known = ~live | (e["id"] > smallest)
@@ -207,8 +226,9 @@ def dictionary(entries: DataFrame) -> DataFrame:
         mark_start = np.flatnonzero(np.concatenate([[True], ~same_mark]))
         kinds = np.add.reduceat(new.astype(np.int64), mark_start)
         kinds = np.repeat(kinds, np.diff(np.concatenate([mark_start, [len(new)]])))
-        keep = known | (live & (kinds > 1))
-        trigger = (np.int64(bucket) << np.int64(32)) | e["mark"].astype(np.int64)
+        keep = ~crowd & (known | (way == CROWDED) | (kinds > 1))
+        # phrases of one trigger carry one number, whichever way they came
+        trigger = e["mark"].astype(np.int64)
         out = {"id": e["id"], "variant": e["variant"], "first": e["first"], "span": e["span"], "known": known, "trigger": trigger}
         return pa.Table.from_arrays([pa.array(out[f.name][keep], f.type, safe=False) for f in schema], schema=schema)
 
@@ -274,6 +294,31 @@ def repeated_strings(opened: DataFrame, length: int, parts: int) -> DataFrame:
     return grouped.applyInArrow(compare, "id long, variant int, first int, size int")
 
 
+def crowded_strings(opened: DataFrame, length: int) -> DataFrame:
+    """The same for triggers with very many open phrases: every string is a row and finds its
+    smallest document by its own key, so no task holds all phrases of a trigger."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = Powers()
+        for batch in batches:
+            columns: list[list] = [[], [], [], [], []]
+            rows = zip(*(batch.column(c).to_pylist() for c in ("trigger", "id", "variant", "first", "bytes")))
+            for trigger, doc, variant, first, raw in rows:
+                sums, down = prefix_hashes(np.frombuffer(raw, np.uint8), powers)
+                count = max(0, len(raw) - length + 1)
+                suffix = (sums[length:length + count] - sums[:count]) * down[:count]
+                for column, value in zip(columns, ([trigger] * count, suffix.view(np.int64).tolist(), [doc] * count, [variant] * count, range(first, first + count))):
+                    column += value
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    schema = arrow_schema("trigger long, suffix long, id long, variant int, first int")
+    strings = in_tasks(opened, run, "trigger long, suffix long, id long, variant int, first int")
+    strings = written_table(strings, "crowded-strings")
+    least = written_table(strings.groupBy("trigger", "suffix").agg(F.min("id").alias("least")), "crowded-least")
+    hits = strings.join(least, ["trigger", "suffix"]).where("id > least")
+    return hits.select("id", "variant", "first", F.lit(length).alias("size"))
+
+
 def cut_texts(docs: DataFrame, ranges: DataFrame) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, kept) with the given byte ranges taken out."""
     schema = arrow_schema("id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
@@ -299,7 +344,10 @@ def cut_texts(docs: DataFrame, ranges: DataFrame) -> DataFrame:
     return in_tasks(joined, run, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50) -> DataFrame:
+def repeated_passages(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50,
+    hot_in_flush: int = HOT_IN_FLUSH, hot_in_all: int = HOT_IN_ALL,
+) -> DataFrame:
     """One row per row of ``docs``: id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes).
 
     A byte goes if it is covered by a string of ``length`` bytes that also starts in a document
@@ -307,7 +355,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     as empty. Documents with one id are not smaller than each other. A row without id keeps its
     text and takes nothing from others. Extra columns are ignored; an empty table gives no rows.
 
-    Exact copies are settled by their digest and are not parsed.
+    Exact copies are settled by their digest and are not parsed. The two bounds say from when on
+    the phrases of one trigger are spread over tasks; they change no result.
     """
     ship_package(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -334,9 +383,17 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     skipped = broadcast_if_small(copies.select("id", "variant"), 2_000_000)
     originals = texts.where(F.col("id").isNotNull() & (F.octet_length("text") >= length)).join(skipped, ["id", "variant"], "left_anti")
-    settled = written_table(dictionary(parse(originals, length, buckets)), "phrases")
-    opened = open_phrases(texts, settled.where("NOT known").select("id", "variant", "trigger", "first", "span"), length)
-    more = repeated_strings(opened, length, buckets)
+    settled = written_table(dictionary(parse(originals, length, buckets, hot_in_flush)), "phrases")
+    asked = settled.where("NOT known").select("id", "variant", "trigger", "first", "span")
+    crowds = written_table(asked.groupBy("trigger").agg(F.count("*").alias("n")).where(F.col("n") > hot_in_all).select("trigger"), "crowds")
+    opened = open_phrases(texts, asked, length)
+    if crowds.isEmpty():
+        more = repeated_strings(opened, length, buckets)
+    else:
+        opened = written_table(opened, "open-phrases")
+        by_trigger = opened.join(broadcast_if_small(crowds, 2_000_000), "trigger", "left_anti")
+        crowded = opened.join(broadcast_if_small(crowds, 2_000_000), "trigger", "left_semi")
+        more = repeated_strings(by_trigger, length, buckets).union(crowded_strings(crowded, length))
     ranges = (
         settled.where("known").select("id", "variant", "first", (F.col("span") + length).cast("int").alias("size"))
         .union(more)

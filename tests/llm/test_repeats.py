@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import pytest
+
 from quillgrid.llm.repeats import repeated_passages
 
 
@@ -55,6 +57,17 @@ def test_edges_of_shared_passages(make_docs):
     assert got(repeated_passages(make_docs(rows))) == brute(rows, 50)
 
 
+@pytest.mark.parametrize("flush, every", [(2, 3), (3, 10_000), (64, 2)])
+def test_triggers_with_many_phrases(make_docs, flush, every):
+    """One sequence between ever different neighbours, with the triggers spread in all ways."""
+    random.seed(6)
+    word = lambda n: "".join(random.choice("abcdef ") for _ in range(n))
+    core, tails = word(30), [word(12) for _ in range(8)]
+    rows = [(i, word(5) + random.choice(tails) + random.choice(tails) + core + random.choice(tails) + random.choice(tails)) for i in range(150)]
+    docs = make_docs(rows, 7)
+    assert got(repeated_passages(docs, hot_in_flush=flush, hot_in_all=every)) == brute(rows, 50)
+
+
 def test_many_bytes_in_few_rows(make_docs):
     """Texts longer than one chunk of hashing."""
     random.seed(5)
