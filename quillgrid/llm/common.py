@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..session import broadcast_if_small, written_table
+
+IDS_BROADCAST = 2_000_000
+SLICE = 1 << 22
 _SHIPPED: set[str] = set()
 
 
@@ -34,9 +38,24 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def in_tasks(df: DataFrame, function: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with functions of this package."""
+    """``mapInArrow`` with functions of this package.
+
+    The function sees slices of about SLICE bytes, so what it makes of one of them is bounded
+    however long the texts of a batch are.
+    """
     ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def sliced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            step = max(1, batch.num_rows * SLICE // max(batch.nbytes, 1))
+            for start in range(0, max(batch.num_rows, 1), step):
+                yield batch.slice(start, step)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(sliced(batches))
+        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
+
+    return df.mapInArrow(run, schema)
 
 
 def narrow(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -47,6 +66,18 @@ def narrow(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def small_list(ids: DataFrame, name: str) -> DataFrame:
+    """A list of ids, written once; up to IDS_BROADCAST rows it travels to the texts, beyond that the
+    join shuffles both sides."""
+    return broadcast_if_small(written_table(ids.distinct(), name), IDS_BROADCAST)
+
+
+def without_ids(docs: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is not in ``ids`` (id), with all their columns; rows without id stay."""
+    gone = small_list(ids.select(F.col("id").alias("__id")), "dropped")
+    return docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("__id"), "left_anti")
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(T.StructType.fromDDL(ddl))
 

@@ -23,8 +23,9 @@ from .common import in_tasks, narrow
 
 BLANK = "▁"
 UNIT = re.compile(f"{BLANK}*[^{BLANK}]*")
-MEMO_UNITS = 200_000
-MEMO_PAIRS = 2_000_000
+# Bounds of what a worker remembers: some 30 MB of units and as much of pairs.
+MEMO_UNITS = 150_000
+MEMO_PAIRS = 500_000
 
 
 class Codec:
@@ -49,12 +50,14 @@ class Codec:
         ]
         if special - {self.begin, self.end}:
             self.raw[model.unk_id()] = " ⁇ ".encode()
+        # a piece that merging never makes is never used
+        self.reachable = {piece for piece in self.ids if self.merged(list(piece)) == [piece]}
         self.automaton = ahocorasick.Automaton()
-        for piece in self.ids:
-            if self.merged(list(piece)) == [piece]:  # a piece that merging never makes is never used
-                self.automaton.add_word(piece, piece)
+        for piece in self.reachable:
+            self.automaton.add_word(piece, piece)
         self.automaton.make_automaton()
-        self.fits: dict[tuple[str, str], bool] = {}
+        self.fits: dict[str, dict[str, bool]] = {}
+        self.known_fits = 0
         self.units: dict[str, bytes] = {}
 
     def merged(self, symbols: list[str]) -> list[str]:
@@ -73,36 +76,40 @@ class Codec:
 
     def fit(self, left: str, right: str) -> bool:
         """Whether ``left`` and ``right`` stay side by side when their characters are merged."""
-        key = (left, right)
-        known = self.fits.get(key)
+        known = self.fits.get(left, {}).get(right)
         if known is None:
-            if len(self.fits) >= MEMO_PAIRS:
+            if self.known_fits >= MEMO_PAIRS:
                 self.fits.clear()
-            known = self.fits[key] = self.merged(list(left + right)) == [left, right]
+                self.known_fits = 0
+            known = self.fits.setdefault(left, {})[right] = self.merged(list(left + right)) == [left, right]
+            self.known_fits += 1
         return known
 
     def tokens(self, unit: str) -> list[str]:
         """Pieces of a unit; a character without a piece stands for itself."""
-        size = len(unit)
+        if unit in self.reachable:
+            return [unit]
+        size, done = len(unit), 0
         last: list[str | None] = [None] * (size + 1)
-        ends: list[list[str]] = [[] for _ in range(size + 1)]
-        for end, piece in self.automaton.iter(unit):
-            ends[end + 1].append(piece)
-        fits, fit = self.fits.get, self.fit
-        for end in range(1, size + 1):
-            for piece in ends[end]:
-                start = end - len(piece)
-                if not start:
-                    last[end] = piece
-                    break
-                before = last[start]
-                if before is not None:
-                    known = fits((before, piece))
-                    if known or known is None and fit(before, piece):
-                        last[end] = piece
-                        break
-            else:
-                last[end] = unit[end - 1]  # no piece holds this character
+        fits, fit, none = self.fits.get, self.fit, {}
+        for end, piece in self.automaton.iter(unit):  # by end, the longest first
+            end += 1
+            if last[end] is not None:
+                continue
+            while done < end - 1:  # no piece holds a character that is still without a token
+                done += 1
+                if last[done] is None:
+                    last[done] = unit[done - 1]
+            start = end - len(piece)
+            if not start:
+                last[end] = piece
+                continue
+            known = fits(last[start], none).get(piece)
+            if known or known is None and fit(last[start], piece):
+                last[end] = piece
+        for end in range(done + 1, size + 1):
+            if last[end] is None:
+                last[end] = unit[end - 1]
         out = []
         while size:
             out.append(last[size])
