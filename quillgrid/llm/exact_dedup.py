@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path, written_table
+from .common import small_list
 
 # The characters that the comparison ignores.
 BLANKS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
@@ -111,7 +112,7 @@ def exact_groups(
     state = written_table(state, "digests")
 
     # the full bytes of every digest that was hit again
-    hits = state.where("size > 1").select("digest")
+    hits = small_list(state.where("size > 1").select("digest"), "hits")
     texts = docs.select(digest(normalised(F.col(text_col))).alias("digest"), normalised(F.col(text_col)).alias("whole"))
     differ = written_table(
         texts.join(hits, "digest").groupBy("digest").agg(F.min("whole").alias("low"), F.max("whole").alias("high"))
@@ -145,9 +146,19 @@ def with_copies(groups: DataFrame) -> DataFrame:
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; of repeated rows one."""
-    kept = exact_groups(docs, id_col, text_col).where("kept").select(F.col("id").alias("__id"), F.col("n_chars").alias("__chars"))
+    """The rows of ``docs`` that stay, with all their columns; of repeated rows one.
+
+    Rows are told by id and length: a row that shares both with a kept one stays, unless it has
+    the same text.
+    """
+    per_row = exact_groups(docs, id_col, text_col).groupBy(F.col("id").alias("__id"), F.col("n_chars").alias("__chars")).agg(
+        F.max("kept").alias("kept"), F.count("*").alias("copies")
+    )
+    per_row = written_table(per_row.where("NOT kept OR copies > 1"), "exact-dropped")
     length = F.length(F.coalesce(F.col(text_col), F.lit(""))).cast("long")
     same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (length == F.col("__chars"))
-    rows = docs.join(kept, same, "left_semi")
-    return rows.dropDuplicates([id_col, text_col])
+    rows = docs.join(small_list(per_row.where("NOT kept").select("__id", "__chars"), "dropped"), same, "left_anti")
+    repeated = small_list(per_row.where("kept").select("__id", "__chars"), "repeated")
+    if repeated.isEmpty():
+        return rows
+    return rows.join(repeated, same, "left_anti").unionByName(rows.join(repeated, same, "left_semi").dropDuplicates([id_col, text_col]))
