@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small, written_table
+from .common import small_list, without_ids
 
 # Measuring words that follow a number.
 UNITS = (
@@ -97,7 +98,7 @@ def contaminated(
     found = written_table(hashed.join(keys, "h").select("id", (F.col("at") + 1).alias("at"), "item_id", "place"), "found")
 
     # the values of the few documents with hits, window by window
-    wanted = found.select("id").distinct()
+    wanted = small_list(found.select("id"), "wanted")
     held = texts.join(wanted, "id", "left_semi").withColumn("tokens", token_array(marked(F.col("text")))).select("id", "tokens")
     places = found.groupBy("id").agg(F.collect_set(F.struct("at", "item_id", "place")).alias("hits"))
     cut = held.join(places, "id").select(
@@ -127,8 +128,7 @@ def contaminated(
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no item, with all columns; rows without id stay."""
-    bad = contaminated(docs, benchmark, id_col, text_col).select(F.col("id").alias("__id")).distinct()
-    return docs.join(bad, F.col(id_col).cast("long") == F.col("__id"), "left_anti")
+    return without_ids(docs, id_col, contaminated(docs, benchmark, id_col, text_col).select("id"))
 
 
 def _sql(step: tuple[str, str], text: str) -> str:
