@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written_table
-from .common import in_tasks, narrow, per_batch
+from .common import in_tasks, narrow, per_batch, without_ids
 
 # Words for the person spoken to, and signs that stand for letters.
 SECOND_PERSON = frozenset(
@@ -30,11 +30,12 @@ SECOND_PERSON = frozenset(
 LOOKALIKE = str.maketrans("013457@$!|", "oieastasii")
 
 WORD = re.compile(r"[^\W\d_]+")
-MIXED = re.compile(r"[^\W\d_]+(?:[0-9@$!|*._\-]+[^\W\d_]+)+")
-SPACED = re.compile(r"(?<!\w)\w(?:[ .\-]\w){3,}(?!\w)")
-SHOUTED = re.compile(r"(?<!\w)[^\W\d_a-zß-öø-ÿ]{3,}(?!\w)")
-STRETCHED = re.compile(r"([^\W\d_])\1{3,}")
-RUNS = re.compile(r"[!?]{2,}|[^\w\s]{3,}")
+BLANK, LETTER, DIGIT, SIGN, OTHER = range(5)
+KIND_OF_BYTE = np.full(256, OTHER, np.uint8)  # bytes of other scripts count as letters
+KIND_OF_BYTE[:33] = BLANK
+for _low, _high, _kind in ((48, 57, DIGIT), (65, 90, LETTER), (97, 122, LETTER), (128, 255, LETTER)):
+    KIND_OF_BYTE[_low:_high + 1] = _kind
+KIND_OF_BYTE[[ord(c) for c in "@$!|*._-"]] = SIGN  # signs that may stand inside a disguised word
 STEMS = (4, 5, 6, 7)
 
 FEATURES = (
@@ -51,57 +52,112 @@ def word_keys(text: str) -> set[str]:
 
 
 class Lexicon:
-    """Finds weighted words and stems at word starts; built once per task."""
+    """Finds weighted words and stems at word starts, and words of address; built once per batch."""
 
     def __init__(self, weights: dict[str, float]):
         self.weights = weights
         self.machine = ahocorasick.Automaton()
+        for word in SECOND_PERSON:
+            self.machine.add_word(f" {word} ", (len(word) + 2, True, 0.0, ""))
         for key, weight in weights.items():
             self.machine.add_word(key.rstrip("*"), (len(key.rstrip("*")), key.endswith("*"), weight, key))
-        if weights:
-            self.machine.make_automaton()
+        self.machine.make_automaton()
 
-    def hits(self, lowered: str) -> list[tuple[int, float, str]]:
-        """(start, weight, key) of each hit; of hits with one start the heaviest."""
-        if not self.weights:
-            return []
+    def hits(self, lowered: str) -> tuple[list[tuple[int, float, str]], list[int]]:
+        """(start, weight, key) of each hit, of hits with one start the heaviest; places of words of address."""
         found: dict[int, tuple[float, str]] = {}
+        persons: list[int] = []
+        lowered = f" {lowered} "
         size = len(lowered)
         for end, (length, stem, weight, key) in self.machine.iter(lowered):
             start = end - length + 1
+            if not key:
+                persons.append(start)
+                continue
             if start and lowered[start - 1].isalpha():
                 continue
             if not stem and end + 1 < size and lowered[end + 1].isalpha():
                 continue
             if start not in found or weight > found[start][0]:
                 found[start] = (weight, key)
-        return [(start, *found[start]) for start in sorted(found)]
+        return [(start, *found[start]) for start in sorted(found)], persons
+
+
+def runs(mask: np.ndarray, least: int) -> int:
+    """Number of runs of at least ``least`` true values."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], mask, [False]]).astype(np.int8)))
+    return int(np.count_nonzero(edges[1::2] - edges[::2] >= least))
+
+
+def disguised(raw: np.ndarray, kinds: np.ndarray) -> list[str]:
+    """Words with digits or signs between letters, and letters spelled out with single gaps."""
+    letter = kinds == LETTER
+    inner = (kinds == DIGIT) | (kinds == SIGN)
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], inner, [False]]).astype(np.int8)))
+    first, after = edges[::2], edges[1::2]
+    inside = (first > 0) & (after < len(raw))
+    first, after = first[inside], after[inside]
+    between = letter[first - 1] & letter[after]
+    out, reached = [], -1
+    for at in first[between].tolist():
+        if at < reached:
+            continue
+        low, high = at, at
+        while low and kinds[low - 1] in (LETTER, DIGIT, SIGN):
+            low -= 1
+        while high < len(raw) and kinds[high] in (LETTER, DIGIT, SIGN):
+            high += 1
+        reached = high
+        out.append(raw[low:high].tobytes().decode("utf-8", "ignore"))
+    if len(raw) >= 7:
+        gap = (raw == 32) | (raw == 46) | (raw == 45)
+        spelled = letter[:-6] & gap[1:-5] & letter[2:-4] & gap[3:-3] & letter[4:-2] & gap[5:-1] & letter[6:]
+        spelled[1:] &= ~letter[:-7]
+        reached = -1
+        for at in np.flatnonzero(spelled).tolist():
+            if at < reached:
+                continue
+            high = at + 7
+            while high + 1 < len(raw) and gap[high] and letter[high + 1]:
+                high += 2
+            reached = high
+            out.append(raw[at:high].tobytes().decode("utf-8", "ignore"))
+    return out
 
 
 def features(text: str, lexicon: Lexicon) -> list[float]:
     """The dense features of one whole text, in the order of FEATURES."""
-    lowered = text.lower()
-    words = max(1, len(text.split()))
-    raw = np.bincount(np.frombuffer(text.encode("utf-8", "replace"), np.uint8), minlength=256)
-    letters = max(1, int(raw[65:91].sum() + raw[97:123].sum()))
-    hits = lexicon.hits(lowered)
+    raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
+    kinds = KIND_OF_BYTE[raw]
+    counts = np.bincount(raw, minlength=256)
+    solid = kinds != BLANK
+    words = max(1, int(np.count_nonzero(solid[1:] & ~solid[:-1])) + int(len(raw) and solid[0]))
+    letters = max(1, int(counts[65:91].sum() + counts[97:123].sum()))
+    hits, persons = lexicon.hits(text.lower())
     near = 0
-    for start, _, key in hits:
-        around = WORD.findall(lowered[max(0, start - 30):start + len(key) + 30])
-        near += any(w in SECOND_PERSON for w in around)
-    persons = sum(lowered.count(f" {w} ") for w in SECOND_PERSON)
-    mixed = MIXED.findall(lowered)
+    if hits and persons:
+        starts, addressed = np.array([h[0] for h in hits]), np.array(persons)
+        place = np.searchsorted(addressed, starts)
+        before = np.abs(starts - addressed[np.maximum(place - 1, 0)])
+        behind = np.abs(addressed[np.minimum(place, len(addressed) - 1)] - starts)
+        near = int(np.count_nonzero(np.minimum(before, behind) <= 30))
+    mixed = disguised(raw, kinds)
     hidden = 0
-    for token in mixed + SPACED.findall(lowered):
+    for token in mixed:
+        token = token.lower()
         plain = re.sub(r"[^\w]|_", "", token.translate(LOOKALIKE))
-        hidden += bool(lexicon.hits(plain)) and not lexicon.hits(token)
-    symbols = int(raw[33:48].sum() + raw[58:65].sum() + raw[91:97].sum() + raw[123:127].sum())
+        hidden += bool(lexicon.hits(plain)[0]) and not lexicon.hits(token)[0]
+    marks = (kinds == SIGN) | (kinds == OTHER)
+    capitals = (raw >= 65) & (raw <= 90)
+    bangs = (raw == 33) | (raw == 63)
+    same = (raw[1:] == raw[:-1]) & (kinds[1:] == LETTER)
     return [
         float(len(hits)), len(hits) / words, sum(w for _, w, _ in hits), float(len({k for _, _, k in hits})),
-        float(near), persons / words,
-        float(raw[65:91].sum()) / letters, len(SHOUTED.findall(text)) / words,
-        float(raw[33]) / words, float(raw[63]) / words, len(RUNS.findall(text)) / words, symbols / words,
-        len(mixed) / words, hidden / words, len(STRETCHED.findall(lowered)) / words, math.log(words),
+        float(near), len(persons) / words,
+        float(np.count_nonzero(capitals)) / letters, runs(capitals, 3) / words,
+        float(counts[33]) / words, float(counts[63]) / words, (runs(bangs, 2) + runs(marks, 3)) / words,
+        float(np.count_nonzero(marks)) / words,
+        len(mixed) / words, hidden / words, runs(same, 3) / words, math.log(words),
     ]
 
 
@@ -300,5 +356,4 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not rejected, with all their columns; rows without id stay."""
-    bad = toxicity(docs, labels, id_col, text_col).where("predicted = 1").select(F.col("id").alias("__id")).distinct()
-    return docs.join(bad, F.col(id_col).cast("long") == F.col("__id"), "left_anti")
+    return without_ids(docs, id_col, toxicity(docs, labels, id_col, text_col).where("predicted = 1").select("id"))
