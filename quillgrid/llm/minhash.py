@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written_table
-from .common import in_tasks, narrow
+from .common import in_tasks, narrow, small_list, without_ids
 from .components import components
 
 # Parameters: a pair at the threshold shares no band with probability (1 - 0.8^8)^64 = 8e-6.
@@ -137,49 +137,120 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return in_tasks(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), run, "a long, b long")
 
 
-def labelled(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
+def labelled(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """``rows`` (h, rep) with the component found so far."""
-    if groups is None:
-        return rows.withColumn("component", F.col("rep"))
     named = groups.select(F.col("id").alias("rep"), "component")
     return rows.join(named, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
 
-def cross_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs of one bucket and different components, each once.
-
-    The largest component of a bucket is not paired with itself: the rest is joined with the
-    bucket, so a bucket that is one component, however large, costs nothing here.
-    """
+def open_rows(rows: DataFrame) -> DataFrame:
+    """Rows (h, rep, component) of the groups h with several components, and the largest of these as ``lead``."""
     parts = rows.groupBy("h", "component").agg(F.count("*").alias("size"))
     leading = parts.groupBy("h").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
-    leading = written_table(leading.select("h", F.col("top.component").alias("lead")), "buckets")
-    open_rows = written_table(rows.join(leading, "h"), "open")
-    rest = open_rows.where("component <> lead").select("h", F.col("rep").alias("p"), F.col("component").alias("cp"))
-    every = open_rows.select("h", F.col("rep").alias("q"), F.col("component").alias("cq"))
-    return rest.join(every, "h").where("cp <> cq").select(F.greatest("p", "q").alias("a"), F.least("p", "q").alias("b")).distinct()
+    leading = written_table(leading.select("h", F.col("top.component").alias("lead")), "leading")
+    return written_table(rows.join(leading, "h"), "open")
+
+
+def cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that may be linked, each once; rows are (h, rep, n, place, component).
+
+    Sets of n and m members that are linked have at least ``shared`` members in common, so the
+    first one of these stands no later than n - shared + 1 in the one and m - shared + 1 in the
+    other. The largest component of a shingle is not paired with itself: the rest is joined with
+    all, so a shingle of one component, however common, costs nothing here.
+    """
+    opened = open_rows(rows)
+    side = lambda df, s: df.select("h", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "place", "component")])
+    n, m = F.col("n_p"), F.col("n_q")
+    shared = F.ceil((n + m) * percent / (100 + percent) - 1e-9)
+    possible = (
+        (F.col("component_p") != F.col("component_q")) & (n * 100 >= m * percent) & (m * 100 >= n * percent)
+        & (F.col("place_p") <= n - shared + 1) & (F.col("place_q") <= m - shared + 1)
+    )
+    pairs = side(opened.where("component <> lead"), "p").join(side(opened, "q"), "h").where(possible)
+    return pairs.select(F.greatest("rep_p", "rep_q").alias("a"), F.least("rep_p", "rep_q").alias("b")).distinct()
+
+
+def pivots(rows: DataFrame, tries: int = 3) -> DataFrame:
+    """Pairs (a, b) of each class with the most central classes of its buckets.
+
+    A class is central if it shares its buckets with many: in a group of near copies that is the
+    one with the fewest changes, which most others are close to.
+    """
+    sizes = rows.groupBy("h").agg(F.count("*").alias("m"))
+    central = written_table(rows.join(written_table(sizes, "sizes"), "h").groupBy("rep").agg(F.sum("m").alias("c")), "central")
+    best = rows.join(central, "rep").groupBy("h").agg(F.max(F.struct("c", (-F.col("rep")).alias("r"))).alias("p"))
+    asked = rows.join(written_table(best, "pivots"), "h").where(F.col("rep") != -F.col("p.r"))
+    # a class has at most BANDS buckets
+    chosen = asked.groupBy("rep").agg(F.slice(F.sort_array(F.collect_set("p"), asc=False), 1, tries).alias("p"))
+    pairs = chosen.select("rep", F.explode("p.r").alias("r")).select(F.col("rep").alias("x"), (-F.col("r")).alias("y"))
+    return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+
 
+COUNTERS = 1 << 21
+COUNTER_SHIFT = np.uint64(64 - 21)
 
-def open_share(rows: DataFrame) -> float:
-    """Pairs of one bucket and different components, per row: what ``cross_pairs`` would look at."""
-    parts = rows.groupBy("h", "component").agg(F.count("*").cast("double").alias("size"))
-    buckets = parts.groupBy("h").agg(F.sum("size").alias("m"), F.max("size").alias("top"))
-    total = buckets.agg(F.sum(F.col("m") * (F.col("m") - F.col("top"))).alias("pairs"), F.sum("m").alias("rows")).first()
-    return (total.pairs or 0.0) / (total.rows or 1.0)
+
+def frequencies(sets: DataFrame) -> np.ndarray:
+    """How many sets hold the shingles of each of COUNTERS bins: a bounded table of counts."""
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int32)
+        for batch in batches:
+            held = np.frombuffer(b"".join(batch.column("members").to_pylist()), np.uint64)
+            bins, n = np.unique((held >> COUNTER_SHIFT).astype(np.int32), return_counts=True)
+            total[bins] += n.astype(np.int32)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"bin": pa.array(held, pa.int32()), "n": pa.array(total[held], pa.int64())})
+
+    rows = in_tasks(sets.select("members"), count, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(COUNTERS, np.int32)
+    out[rows["bin"].to_numpy()] = np.minimum(rows["n"].to_numpy(), np.iinfo(np.int32).max)
+    return out
+
+
+def prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(rep, n, place, h): the rarest shingles of each set, so many that two linked sets share one of them.
+
+    Sets of n and m members with the similarity share a member among the first
+    n - ceil(percent / 100 n) + 1 of either, in any one order of all members. Rare ones come first
+    here: near copies are full of common shingles, and those that differ too much to be linked
+    have a prefix of their own.
+    """
+    common = frequencies(sets)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            reps, sizes, firsts, places = [], [], [], []
+            for rep, members in zip(batch.column("id").to_pylist(), batch.column("members")):
+                values = np.frombuffer(members.as_py(), np.uint64)
+                n = len(values)
+                length = n - (percent * n + 99) // 100 + 1
+                order = np.lexsort((values, common[(values >> COUNTER_SHIFT).astype(np.int64)]))
+                chosen = values[order[:length]].view(np.int64)
+                reps.append(np.full(len(chosen), rep))
+                sizes.append(np.full(len(chosen), n))
+                firsts.append(chosen)
+                places.append(np.arange(1, len(chosen) + 1))
+            columns = zip(("rep", "n", "place", "h"), (reps, sizes, places, firsts))
+            yield pa.RecordBatch.from_pydict({name: pa.array(np.concatenate(parts), pa.int64()) for name, parts in columns})
+
+    return in_tasks(sets.select("id", "members"), run, "rep long, n long, place long, h long")
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80,
-    rounds: int = 4, open_pairs_per_row: float = 8.0,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, tries: int = 3
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row of ``docs``.
 
     Documents are linked if 100 * |A and B| >= percent * |A or B| on their sets of ``width``-word
     shingles; a component is what links connect, named by its smallest id. Equal sets are one
-    class, so copies are never paired. Per bucket of a band each class is first compared with a
-    few pivots, which joins large groups of near copies in linear work; whatever pairs of a bucket
-    then still lie in different components are all compared. ``rounds`` and ``open_pairs_per_row``
-    decide only how long pivots are tried before that.
+    class, so copies are never paired. Each class is first compared with ``tries`` central classes
+    of its buckets, which joins large groups of near copies in linear work. Classes whose buckets
+    then still hold several components are compared across components, all of them that share one
+    of their rarest shingles, without which no link is possible.
 
     Null and blank texts have no shingles and are linked with nothing. Rows that repeat an id are
     one document; a row without id gets no component and is kept. Extra columns are ignored; an
@@ -190,33 +261,19 @@ def near_duplicates(
     known = drawn.where("id IS NOT NULL AND n > 0")
     classes = written_table(known.groupBy("digest").agg(F.min("id").alias("rep"), F.first("bands").alias("bands")), "classes")
     bands = classes.select("rep", F.explode("bands").alias("h"))
-    shared = written_table(bands.groupBy("h").agg(F.count("*").alias("m"), F.min("rep").alias("pivot")).where("m > 1"), "buckets")
+    shared = written_table(bands.groupBy("h").agg(F.count("*").alias("m")).where("m > 1").select("h"), "buckets")
     rows = written_table(bands.join(shared, "h"), "bucket-rows")
-    needed = rows.select(F.col("rep").alias("id")).distinct()
+    needed = small_list(rows.select(F.col("rep").alias("id")), "needed")
     sets = written_table(full_sets(texts.join(needed, "id", "left_semi"), width), "sets")
 
     # rows that repeat an id link its classes without a comparison
     members = known.select("id", "digest").join(classes.select("digest", "rep"), "digest")
     links = members.groupBy("id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).where("a <> b").select("a", "b")
-    first = rows.where("pivot < rep").groupBy("rep").agg(F.min("pivot").alias("b")).select(F.col("rep").alias("a"), "b")
-    links = written_table(links.union(confirmed(first, sets, percent)), "links")
+    links = written_table(links.union(confirmed(pivots(rows, tries), sets, percent)), "links")
     groups = components(links)
-    plain = rows.select("h", "rep")
-    for number in range(rounds):
-        marked = written_table(labelled(plain, groups), "marked")
-        if open_share(marked) <= open_pairs_per_row:
-            break
-        order = F.xxhash64(F.lit(number), F.col("rep"))
-        pivots = marked.groupBy("h").agg(
-            F.min(F.struct(order.alias("o"), F.col("rep").alias("b"), F.col("component").alias("cb"))).alias("p"), F.count("*").alias("m")
-        )
-        tries = marked.join(written_table(pivots.select("h", "m", "p.b", "p.cb"), "pivots"), "h").where("component <> cb")
-        tries = tries.groupBy("rep").agg(F.max(F.struct("m", "b")).alias("t")).select(F.col("rep").alias("a"), F.col("t.b").alias("b"))
-        links = written_table(links.union(confirmed(tries, sets, percent)), "links")
-        groups = components(links)
-    else:
-        marked = written_table(labelled(plain, groups), "marked")
-    rest = confirmed(cross_pairs(marked), sets, percent)
+    undecided = open_rows(labelled(rows, groups)).select(F.col("rep").alias("id")).distinct()
+    some = written_table(sets.join(undecided, "id", "left_semi"), "undecided")
+    rest = confirmed(cross_pairs(labelled(prefixes(some, percent), groups), percent), sets, percent)
     groups = components(written_table(links.union(rest), "links"))
 
     named = classes.select("digest", "rep").join(groups.select(F.col("id").alias("rep"), "component"), "rep", "left")
@@ -232,5 +289,4 @@ def near_duplicates(
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group of near duplicates, with all columns; the others go."""
-    dropped = near_duplicates(docs, id_col, text_col, width, percent).where("NOT kept").select(F.col("id").alias("__id")).distinct()
-    return docs.join(dropped, F.col(id_col).cast("long") == F.col("__id"), "left_anti")
+    return without_ids(docs, id_col, near_duplicates(docs, id_col, text_col, width, percent).where("NOT kept").select("id"))

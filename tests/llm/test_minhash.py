@@ -65,7 +65,22 @@ def test_group_at_the_threshold(make_docs):
         rows.append((i, " ".join(chain)))
     passage = " ".join(words[200:260])
     rows += [(100 + i, passage + " " + " ".join(f"u{i}v{j}" for j in range(25))) for i in range(60)]
-    assert got(near_duplicates(make_docs(rows), width=2, open_pairs_per_row=0.0)) == brute(rows, 2)
+    assert got(near_duplicates(make_docs(rows), width=2, tries=1)) == brute(rows, 2)
+
+
+def test_group_of_near_copies_without_a_centre(make_docs):
+    """Copies of one text with more and more changes: some are linked, the others lie just beyond."""
+    random.seed(8)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for at in random.sample(range(150), random.randint(0, 20)):
+            words[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(words)))
+    expected = brute(rows, 2)
+    assert 20 < sum(r[3] for r in expected) < 100
+    assert got(near_duplicates(make_docs(rows), width=2)) == expected
 
 
 def test_odd_rows(odd_docs):
