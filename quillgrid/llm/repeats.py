@@ -28,9 +28,9 @@ from .common import arrow_schema, in_tasks, ship_package
 from .minhash import mixed
 
 GRAM = 16  # bytes of a trigger
-CHUNK = 1 << 21  # bytes that are hashed at once
-FLUSH = 1 << 24  # bytes whose phrases are reduced and sent together
-BUCKET = 1 << 24  # bytes of text per bucket of triggers
+CHUNK = 1 << 20  # bytes that are hashed at once
+FLUSH = 1 << 23  # bytes whose phrases are reduced and sent together
+BUCKET = 1 << 23  # bytes of text per bucket of triggers
 # A trigger with so many different phrases in one flush, or open ones in all, is spread over tasks.
 HOT_IN_FLUSH = 64
 HOT_IN_ALL = 10_000
@@ -235,22 +235,40 @@ def dictionary(entries: DataFrame) -> DataFrame:
     return entries.groupBy("bucket").applyInArrow(settle, "id long, variant int, first int, span int, known boolean, trigger long")
 
 
+def squeezed(texts: DataFrame) -> DataFrame:
+    """(id, variant, packed): texts as compressed bytes, for the joins that shuffle them."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", compression_level=3)
+        for batch in batches:
+            raw = [t.as_py() or b"" for t in batch.column("text").cast(pa.binary())]
+            packed = [len(t).to_bytes(8, "little") + (codec.compress(t, asbytes=True) if t else b"") for t in raw]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("variant"), pa.array(packed, pa.binary())], names=["id", "variant", "packed"])
+
+    return in_tasks(texts.select("id", "variant", "text"), run, "id long, variant int, packed binary")
+
+
+def unsqueezed(packed: bytes) -> bytes:
+    size = int.from_bytes(packed[:8], "little")
+    return pa.Codec("zstd").decompress(packed[8:], size, asbytes=True) if size else b""
+
+
 def open_phrases(texts: DataFrame, asked: DataFrame, length: int) -> DataFrame:
-    """(part, trigger, id, variant, first, bytes) of the open phrases, read off their texts."""
+    """(trigger, id, variant, first, bytes) of the open phrases, read off their texts."""
     schema = arrow_schema("trigger long, id long, variant int, first int, bytes binary")
     lists = asked.groupBy("id", "variant").agg(F.collect_list(F.struct("trigger", "first", "span")).alias("asked"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            rows = zip(batch.column("id").to_pylist(), batch.column("variant").to_pylist(), batch.column("text").cast(pa.binary()), batch.column("asked"))
-            for doc, variant, text, wanted in rows:
-                whole = text.as_py()
+            rows = zip(batch.column("id").to_pylist(), batch.column("variant").to_pylist(), batch.column("packed"), batch.column("asked"))
+            for doc, variant, packed, wanted in rows:
+                whole = unsqueezed(packed.as_py())
                 for w in wanted.as_py():
                     out.append((w["trigger"], doc, variant, w["first"], whole[w["first"]:w["first"] + w["span"] + length]))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(schema)], schema=schema)
 
-    joined = texts.join(lists, ["id", "variant"]).select("id", "variant", "text", "asked")
+    joined = squeezed(texts).join(lists, ["id", "variant"]).select("id", "variant", "packed", "asked")
     return in_tasks(joined, run, "trigger long, id long, variant int, first int, bytes binary")
 
 
@@ -327,8 +345,8 @@ def cut_texts(docs: DataFrame, ranges: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for doc, text, own in zip(batch.column("id").to_pylist(), batch.column("text").cast(pa.binary()), batch.column("ranges")):
-                whole, pieces, spans, at = text.as_py() or b"", [], 0, -1
+            for doc, packed, own in zip(batch.column("id").to_pylist(), batch.column("packed"), batch.column("ranges")):
+                whole, pieces, spans, at = unsqueezed(packed.as_py()), [], 0, -1
                 kept_from = 0
                 for first, end in sorted((r["first"], r["first"] + r["size"]) for r in own.as_py() or ()):
                     if first > at:
@@ -340,7 +358,7 @@ def cut_texts(docs: DataFrame, ranges: DataFrame) -> DataFrame:
                 out.append((doc, len(whole), len(whole) - len(rest), spans, hashlib.sha256(rest).hexdigest(), rest))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(schema)], schema=schema)
 
-    joined = docs.join(lists, ["id", "variant"], "left").select("id", "text", "ranges")
+    joined = squeezed(docs).join(lists, ["id", "variant"], "left").select("id", "packed", "ranges")
     return in_tasks(joined, run, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
