@@ -225,8 +225,12 @@ def train(texts: DataFrame, sample_docs: int = 400, sample_rounds: int = 4) -> t
     shares[1:len(top) + 1] = [r.n / total for r in top]
     shares[0] = max(0.0, 1.0 - shares.sum())
     flat = WindowNetwork.fresh(shares).flat
-    sample = texts.orderBy(F.xxhash64("id"), F.xxhash64("text")).limit(sample_docs).select("text")
-    held = sorted(r.text for r in sample.collect())
+    # the ids are chosen first, so no task sends texts that another task's hash pushes out
+    keyed = texts.select("id", "text", F.xxhash64("text").alias("h"))
+    chosen = written_table(keyed.select("id", "h").orderBy(F.xxhash64("id"), "h").limit(sample_docs), "lm-sample")
+    own = F.broadcast(chosen.select(F.col("id").alias("own_id"), F.col("h").alias("own_h")).distinct())  # sample_docs rows
+    sample = keyed.join(own, F.col("id").eqNullSafe(F.col("own_id")) & (F.col("h") == F.col("own_h")), "left_semi")
+    held = sorted(r.text for r in sample.dropDuplicates(["id", "h"]).collect())
     trainer = Trainer(flat, 0.1)
     for _ in range(sample_rounds):
         for part in blocks_of(held, 1 << 18):
