@@ -12,6 +12,7 @@ are the base forms and keyed secrets.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -153,6 +154,16 @@ def candidates(text: str, start: int, end: int, taken: list[tuple[int, int]]) ->
     return tokens, out
 
 
+NEVER = float("-inf")
+
+
+def added(a: float, b: float) -> float:
+    """log(exp(a) + exp(b))."""
+    if a < b:
+        a, b = b, a
+    return a if b == NEVER else a + math.log1p(math.exp(b - a))
+
+
 class SegmentModel:
     """Weights per kind, and one for two entities that follow each other without a word between."""
 
@@ -191,39 +202,43 @@ class SegmentModel:
         """Log likelihood of the gold segmentation and its slope, by sums over all segmentations."""
         x = np.array([s[2] for s in segments])
         scores = x @ self.weights.T
-        whole = np.logaddexp.reduce(scores, axis=1)
-        forward = np.full((size + 1, 2), -np.inf)
-        backward = np.full((size + 1, 2), -np.inf)
-        forward[0, 0] = 0.0
-        step = np.array([0.0, self.adjacent])
+        whole = np.logaddexp.reduce(scores, axis=1).tolist()
+        near = self.adjacent
         by_end: dict[int, list[int]] = {}
         by_start: dict[int, list[int]] = {}
         for k, (first, end, _) in enumerate(segments):
             by_end.setdefault(end, []).append(k)
             by_start.setdefault(first, []).append(k)
+        # sums over all segmentations up to a place, after a word outside and after an entity
+        outside, inside, either = [0.0], [NEVER], [0.0]
         for end in range(1, size + 1):
-            forward[end, 0] = np.logaddexp(*forward[end - 1])
+            total = NEVER
             for k in by_end.get(end, ()):
-                forward[end, 1] = np.logaddexp(forward[end, 1], np.logaddexp(*(forward[segments[k][0]] + step)) + whole[k])
-        backward[size] = 0.0
+                total = added(total, either[segments[k][0]] + whole[k])
+            outside.append(added(outside[-1], inside[-1]))
+            inside.append(total)
+            either.append(added(outside[-1], total + near))
+        # and from a place on, when an entity does not and when it does end there
+        after, behind = [0.0] * (size + 1), [0.0] * (size + 1)
         for at in range(size - 1, -1, -1):
-            backward[at] = backward[at + 1, 0]
+            total = NEVER
             for k in by_start.get(at, ()):
-                backward[at] = np.logaddexp(backward[at], step + whole[k] + backward[segments[k][1], 1])
-        total = np.logaddexp(*forward[size])
-        slope, near = np.zeros_like(self.weights), 0.0
-        for k, (first, end, _) in enumerate(segments):
-            each = np.exp(scores[k] + np.logaddexp(*(forward[first] + step)) + backward[end, 1] - total)
-            slope -= each[:, None] * x[k]
-            near -= np.exp(whole[k] + forward[first, 1] + self.adjacent + backward[end, 1] - total)
-        likely, ends = -total, {e for _, e, _ in gold}
-        for k, (first, end, _) in enumerate(segments):
-            for kind in range(len(KINDS)):
-                if (first, end, kind) in gold:
-                    slope[kind] += x[k]
-                    likely += scores[k][kind] + (self.adjacent if first in ends else 0.0)
-                    near += first in ends
-        return likely, slope, near
+                total = added(total, whole[k] + behind[segments[k][1]])
+            after[at], behind[at] = added(after[at + 1], total), added(after[at + 1], total + near)
+        total = added(outside[size], inside[size])
+        starts, ends = [s[0] for s in segments], [s[1] for s in segments]
+        rest = np.array([behind[e] for e in ends]) - total
+        share = np.exp(scores + (np.array([either[i] for i in starts]) + rest)[:, None])
+        slope = -(share.T @ x)
+        near_slope = -float(np.exp(np.array(whole) + np.array([inside[i] for i in starts]) + near + rest).sum())
+        likely, closed = -total, {e for _, e, _ in gold}
+        place = {s[:2]: k for k, s in enumerate(segments)}
+        for first, end, kind in gold:
+            k = place[first, end]
+            slope[kind] += x[k]
+            likely += scores[k][kind] + (near if first in closed else 0.0)
+            near_slope += first in closed
+        return likely, slope, near_slope
 
 
 def labelled_regions(text: str) -> Iterator[tuple[int, int, list, set]]:
