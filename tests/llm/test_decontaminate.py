@@ -59,3 +59,18 @@ def test_dropping(make_docs, benchmark):
 def test_main_path_is_native(spark, documents, benchmark):
     plan = contaminated(documents, benchmark)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_capitals_and_names_at_sentence_starts_are_found(make_docs, benchmark, spark):
+    ours = spark.createDataFrame([(7, "Lisbon has 3 gates. Lisbon pays 4 guards. In Lisbon 5 kings met."), (8, "Anna Bell Cora Dunn met Emma Ford Gwen Hall met Ida Jones at the old mill")], "item_id long, text string")
+    both = benchmark.select("item_id", "text").unionByName(ours)
+    docs = make_docs([
+        (1, f"BEFORE IT. {ITEM.upper()} AND AFTER."), (2, ITEM.lower()),
+        (3, "Kyoto has 9 gates. Kyoto pays 8 guards. In Kyoto 7 kings met."),
+        (4, "Kyoto has 9 gates. Turin pays 8 guards. In Kyoto 7 kings met."),
+        (5, "ANNA BELL CORA DUNN MET EMMA FORD GWEN HALL MET IDA JONES AT THE OLD MILL"),
+        (6, ITEM.upper().replace("12", "7", 1)), (9, "THE FARMER SOLD ALL OF THE APPLES AND WENT HOME FOR THE WINTER WITH THE EMPTY CRATES"),
+    ])
+    hits = found(docs, both)
+    assert {(1, 1), (2, 1), (3, 7), (5, 8)} <= hits
+    assert not {d for d, _ in hits} & {9} and (4, 7) not in hits
