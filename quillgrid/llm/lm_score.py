@@ -5,6 +5,9 @@ factored into a class and a member of the class, so every probability is normali
 of two short rows. It is trained in numpy: a bounded sample gives the start, then every task runs
 through all of its documents and the tasks' weights are averaged by their numbers of words. The
 score of a document sums the log probability of every word given both sides.
+
+To the network all words but the most frequent are one. Which of them a word is has a probability
+of its own, from the counts of all words and from a model of letters; a second score has both.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ SHAPES = (
 )
 SIZE = sum(int(np.prod(shape)) for _, shape in SHAPES)
 BLOCK = 4096
+CONTEXTS, NEXT, END = 4096, 257, 256  # the byte before and four bits of the one before that; bytes and the end
+PRIOR = 16.0
 
 
 class WindowNetwork:
@@ -214,8 +219,73 @@ def averaged(texts: DataFrame, known: dict[str, int], start: np.ndarray, rate: f
     return (whole / rows[0].seen).astype(np.float32)
 
 
-def train(texts: DataFrame, sample_docs: int = 400, sample_rounds: int = 4) -> tuple[dict[str, int], np.ndarray]:
-    """(word ids, weights). Words and weights come from all texts; only the start is fitted on at
+def letters_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(cell of each byte and end of the words, first place of each word); a cell is context and byte."""
+    raw = [w.encode("utf-8", "surrogatepass") for w in words]
+    sizes = np.array([len(r) + 3 for r in raw], np.int64)
+    ends = np.cumsum(sizes) - 1
+    codes = np.frombuffer(b"".join(b"\0\0" + r + b"\0" for r in raw), np.uint8).astype(np.int32)
+    codes[ends] = END
+    wanted = np.ones(len(codes), bool)
+    wanted[ends - sizes + 1] = wanted[ends - sizes + 2] = False
+    at = np.flatnonzero(wanted)
+    cells = (codes[at - 1] * 16 + (codes[at - 2] & 15)) * NEXT + codes[at]
+    return cells, np.concatenate([[0], np.cumsum(sizes - 2)[:-1]])
+
+
+def letter_logs(cells: np.ndarray) -> np.ndarray:
+    """log P(byte or end | context) of all cells from their counts, smoothed by the bytes' shares."""
+    table = cells.reshape(CONTEXTS, NEXT).astype(np.float64)
+    shares = (table.sum(axis=0) + 1) / (table.sum() + NEXT)
+    return np.log((table + PRIOR * shares) / (table.sum(axis=1, keepdims=True) + PRIOR)).ravel()
+
+
+def unknown_logs(counts: DataFrame, known: dict[str, int]) -> DataFrame:
+    """(word, log_p): log P(word | unknown) for every counted word outside ``known``.
+
+    Each word gives up one of its occurrences; what all have given up is dealt by the letters, so a
+    word seen once has the probability of its spelling, and all words together have one. Only the
+    counts of the cells are gathered, whose number is fixed.
+    """
+    strange = lambda batch: [(w, n) for w, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()) if w not in known]
+    cell_schema = arrow_schema("cell int, n long, words long, total long")
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, words, total = np.zeros(CONTEXTS * NEXT, np.int64), 0, 0
+        for batch in batches:
+            if rows := strange(batch):
+                cells += np.bincount(letters_of([w for w, _ in rows])[0], minlength=len(cells))
+                words, total = words + len(rows), total + sum(n for _, n in rows)
+        used = np.flatnonzero(cells)
+        if len(used):
+            rest = np.zeros(len(used), np.int64)
+            columns = [used, cells[used], rest.copy(), rest.copy()]
+            columns[2][0], columns[3][0] = words, total
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, cell_schema)], schema=cell_schema)
+
+    found = in_tasks(counts, count, "cell int, n long, words long, total long")
+    sums = found.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("words").alias("words"), F.sum("total").alias("total")).toArrow()
+    cells = np.zeros(CONTEXTS * NEXT, np.int64)
+    cells[sums["cell"].to_numpy()] = sums["n"].to_numpy()
+    n_words, total = int(sums["words"].to_numpy().sum()), int(sums["total"].to_numpy().sum())
+    logs = letter_logs(cells).astype(np.float32)
+    schema = arrow_schema("word string, log_p double")
+
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if rows := strange(batch):
+                at, first = letters_of([w for w, _ in rows])
+                spelled = np.add.reduceat(logs[at].astype(np.float64), first)
+                n = np.array([n for _, n in rows], np.float64)
+                with np.errstate(divide="ignore"):
+                    value = np.logaddexp(np.log((n - 1) / total), np.log(n_words / total) + spelled)
+                yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in rows], pa.string()), pa.array(value, pa.float64())], schema=schema)
+
+    return in_tasks(counts, score, "word string, log_p double")
+
+
+def train(texts: DataFrame, sample_docs: int = 400, sample_rounds: int = 4) -> tuple[dict[str, int], np.ndarray, DataFrame]:
+    """(word ids, weights, counts of all words). Words and weights come from all texts; only the start is fitted on at
     most ``sample_docs`` of them, chosen by a hash of the id."""
     counts = written_table(word_counts(texts), "word-counts")
     top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - 1).collect()
@@ -236,31 +306,47 @@ def train(texts: DataFrame, sample_docs: int = 400, sample_rounds: int = 4) -> t
         for part in blocks_of(held, 1 << 18):
             ids, at, _ = encoded(part, known)
             trainer.learn(ids, at)
-    return known, averaged(texts, known, trainer.net.flat, 0.05)
+    return known, averaged(texts, known, trainer.net.flat, 0.05), counts
 
 
 def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, n_tokens, log_likelihood (a sum), mean_log_likelihood.
-
-    Words are what white space separates, in lower case; words outside the vocabulary share one
-    id and are predicted like any other. Null and blank texts have no token, the sum 0 and a null
-    mean. Null ids, repeated rows and extra columns change nothing; an empty table gives no rows.
+    """One row per row of ``docs``: id, n_tokens, log_likelihood (a sum), mean_log_likelihood, n_unknown,
+    word_log_likelihood (a sum), mean_word_log_likelihood.
+
+    Words are what white space separates, in lower case. In log_likelihood the words outside the
+    vocabulary share one id and are predicted like any other; word_log_likelihood adds log P(word |
+    unknown) for each of these n_unknown words, so every word's own probability is in it. Null and
+    blank texts have no token, the sums 0 and null means. Null ids, repeated rows and extra columns
+    change nothing; an empty table gives no rows.
     """
     texts = narrow(docs, id_col, text_col)
-    known, flat = train(texts)
+    known, flat, counts = train(texts)
+    shape = "id long, n_tokens long, log_likelihood double, words array<string>, times array<long>"
+    schema = arrow_schema(shape)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = WindowNetwork(flat)
         for batch in batches:
             sums: list[float] = []
             counts: list[int] = []
+            strange: list[Counter] = []
             for held in blocks_of(t.as_py() for t in batch.column("text")):
                 ids, at, sizes = encoded(held, known)
                 logs = np.concatenate([[0.0], np.cumsum(net.log_probabilities(ids, at), dtype=np.float64)])
                 ends = np.cumsum(sizes)
                 sums += (logs[ends] - logs[ends - sizes]).tolist()
                 counts += sizes.tolist()
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(counts, pa.int64()), pa.array(sums, pa.float64())], names=["id", "n_tokens", "log_likelihood"])
-
-    scored = in_tasks(texts, run, "id long, n_tokens long, log_likelihood double")
-    return scored.withColumn("mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
+                strange += [Counter(w for w in text.lower().split() if w not in known) for text in held]
+            columns = [batch.column("id"), counts, sums, [list(c) for c in strange], [list(c.values()) for c in strange]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) if isinstance(c, list) else c for c, f in zip(columns, schema)], schema=schema)
+
+    scored = written_table(in_tasks(texts, run, shape).withColumn("row", F.monotonically_increasing_id()), "lm-scored")
+    each = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", "w.words", "w.times")
+    logs = unknown_logs(counts, known).withColumnRenamed("word", "words")
+    own = each.join(logs, "words").groupBy("row").agg(F.sum("times").alias("n_unknown"), F.sum(F.col("times") * F.col("log_p")).alias("log_p"))
+    joined = scored.drop("words", "times").join(own, "row", "left")
+    mean = lambda name: F.when(F.col("n_tokens") > 0, F.col(name) / F.col("n_tokens")).alias(f"mean_{name}")
+    return joined.select(
+        "id", "n_tokens", "log_likelihood", F.coalesce("n_unknown", F.lit(0)).alias("n_unknown"),
+        (F.col("log_likelihood") + F.coalesce("log_p", F.lit(0.0))).alias("word_log_likelihood"),
+    ).select("id", "n_tokens", "log_likelihood", mean("log_likelihood"), "n_unknown", "word_log_likelihood", mean("word_log_likelihood"))

@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 
-from quillgrid.llm.lm_score import PAD, SIZE, WindowNetwork, encoded, pseudo_likelihood, word_counts
+from quillgrid.llm.lm_score import CONTEXTS, NEXT, PAD, SIZE, WindowNetwork, encoded, letter_logs, letters_of, pseudo_likelihood, unknown_logs, word_counts
 
 
 def network(seed=0):
@@ -70,3 +70,35 @@ def test_odd_rows(odd_docs):
     assert len(rows) == odd_docs.count()
     assert all((r.mean_log_likelihood is None) == (r.n_tokens == 0) and r.log_likelihood <= 0 for r in rows)
     assert pseudo_likelihood(odd_docs.where("false")).collect() == []
+
+
+def test_letters_sum_to_one():
+    words = ["aba", "é", "x" * 300, "\x00b"]
+    cells, first = letters_of(words)
+    assert [int(c) % NEXT for c in cells[:4]] == [97, 98, 97, 256] and first.tolist() == [0, 4, 7, 308]
+    logs = letter_logs(np.bincount(cells, minlength=CONTEXTS * NEXT)).reshape(CONTEXTS, NEXT)
+    assert np.allclose(np.exp(logs).sum(axis=1), 1)
+
+
+def test_unknown_words_have_their_own_probability(make_docs):
+    """1100 frequent words fill the vocabulary; behind it stand prose, a repeated word and random letters."""
+    random.seed(1)
+    syllables = "ba ra ti on en ing mo le sa ri ve".split()
+    rare = sorted({"".join(random.choice(syllables) for _ in range(4)) for _ in range(900)})[:600]
+    junk = ["".join(random.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(len(rare[k]))) for k in range(20)]
+    common = " ".join(f"w{k}" for k in range(1100))
+    docs = [(k, common) for k in range(4)] + [(10 + k, w) for k, w in enumerate(rare)] + [(2000 + k, w) for k, w in enumerate(junk)] + [(3000, "twice"), (3001, "twice x"), (None, "twice"), (None, "twice")]
+    frame = make_docs(docs)
+    rows = pseudo_likelihood(frame).collect()
+    assert len(rows) == len(docs)
+    counts = word_counts(frame.select("text"))
+    known = {r.word: 1 for r in sorted(counts.collect(), key=lambda r: (-r.n, r.word))[:1023]}
+    logs = {r.word: r.log_p for r in unknown_logs(counts, known).collect()}
+    assert not set(logs) & set(known) and len(logs) == counts.count() - 1023 and sum(map(math.exp, logs.values())) <= 1
+    texts = {i: t for i, t in docs}
+    for r in rows:
+        own = [logs[w] for w in texts[r.id].split() if w not in known]
+        assert r.n_unknown == len(own) and abs(r.word_log_likelihood - r.log_likelihood - sum(own)) < 1e-6
+    value = {r.id: r.mean_word_log_likelihood for r in rows}
+    prose = np.mean([value[10 + k] for k in range(len(rare))])
+    assert prose > np.mean([value[2000 + k] for k in range(len(junk))]) + 5
