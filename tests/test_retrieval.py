@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillgrid.operators import ordering, retrieval
 from quillgrid.operators.nearest import nearest
+from quillgrid.plans.retrieval import hybrid_queries
 
 CORPUS = [(1, "order order total"), (2, "order status"), (3, "order customer name order")]
 
@@ -185,3 +186,12 @@ def test_allowed_tables(spark):
     hits = spark.createDataFrame([(1, "a"), (2, "b")], "item_id long, table string")
     assert retrieval.allowed_only(hits, hits.select("table").limit(0), "table").count() == 2
     assert retrieval.allowed_only(hits, hits.where("table = 'b'"), "table").count() == 1
+
+
+def test_every_question_with_a_vector_asks_with_it(spark):
+    class Few:
+        benchmark = spark.createDataFrame([(1, "one"), (2, "two"), (3, "three")], "item_id long, text string")
+        embeddings = spark.createDataFrame([(1, [1.0], 0), (2, [2.0], 0)], "vec_id long, embedding array<double>, label int")
+
+    rows = {r.query_id: r.vector for r in hybrid_queries(Few).collect()}
+    assert rows == {1: [1.0], 2: [2.0], 3: None}
