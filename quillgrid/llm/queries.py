@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from ..sources.tables import Tables
 from .decontaminate import CONTAMINATED_SQL, contaminated
 from .exact_dedup import exact_groups
+from .hard_negatives import HARD_NEGATIVES_SQL, mine_hard_negatives
 from .html_text import main_text
 from .language_id import identify
+from .line_dedup import LINES_SQL, dedup_lines
 from .lm_score import pseudo_likelihood
+from .merkle import MANIFEST_SQL, manifest
 from .minhash import near_duplicates
 from .pii import digest_columns, find_pii
 from .repeats import repeated_passages
@@ -107,3 +110,23 @@ def op9_page_differencing(t: Tables) -> DataFrame:
 @query("op10_toxicity")
 def op10_toxicity(t: Tables) -> DataFrame:
     return toxicity(t.documents, t.labels).withColumnRenamed("id", "doc_id")
+
+
+@query("op11_merkle_manifest", MANIFEST_SQL)
+def op11_merkle_manifest(t: Tables) -> DataFrame:
+    """Every row whose id has a checksum divisible by seven is tampered with."""
+    return manifest(t.documents, F.crc32(F.col("doc_id").cast("string")) % 7 == 0).withColumnRenamed("id", "doc_id")
+
+
+@query("op12_line_dedup", LINES_SQL)
+def op12_line_dedup(t: Tables) -> DataFrame:
+    return dedup_lines(t.documents).select(
+        F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+@query("op13_hard_negatives", HARD_NEGATIVES_SQL)
+def op13_hard_negatives(t: Tables) -> DataFrame:
+    """A seventh of the labels is wrong before the search."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(t.embeddings.withColumn("label", label), vector_col="embedding")

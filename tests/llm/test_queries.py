@@ -9,7 +9,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     names = __spark_entry__.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
 
@@ -28,6 +28,8 @@ def test_same_as_sql(spark, name, monkeypatch):
     ("op8_exact_dedup", ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]),
     ("op9_page_differencing", ["page_id", "url", "text", "n_chars"]),
     ("op10_toxicity", ["doc_id", "held_out", "score", "predicted"]),
+    ("op11_merkle_manifest", ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]),
+    ("op12_line_dedup", ["doc_id", "n_lines", "n_dropped", "kept_sha256"]),
 ])
 def test_one_row_per_row(spark, name, columns):
     frame = QUERIES[name](spark, FOLDER)
