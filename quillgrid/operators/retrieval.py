@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import vocab
 from ..functions.text import normalize_question, token_rows
 from ..session import broadcast_if_small, constant_frame, written_table
+from .impact import Matches, best_matches, index_blocks, without_items
 from .nearest import nearest
 from .ordering import enumerate_rows, populated_first, top_per_group
 
@@ -23,36 +24,57 @@ SUMMARY_BROADCAST = 1_000_000
 
 @dataclass(frozen=True)
 class Bm25Index:
-    """postings(item_id, length, term, tf), terms(term, df, cf, raw_idf, idf) and two figures."""
+    """blocks of postings, terms(term, df, cf, raw_idf, idf) and two figures; see :mod:`.impact`."""
 
-    postings: DataFrame
+    blocks: DataFrame
     terms: DataFrame
     documents: Column
     average_length: Column
 
+    @property
+    def postings(self) -> DataFrame:
+        """(item_id, length, term, tf)"""
+        entries = F.explode(F.arrays_zip("items", "lengths", "counts")).alias("entry")
+        rows = self.blocks.where(F.col("term").isNotNull()).select("term", entries)
+        return rows.select(
+            F.col("entry.items").alias("item_id"), F.col("entry.lengths").cast("long").alias("length"), "term",
+            F.col("entry.counts").cast("long").alias("tf"),
+        )
+
+
+def bm25_index(corpus: DataFrame) -> Bm25Index:
+    """Index corpus(item_id, text), where item_id is a key; rows without it take no part.
+
+    Terms are counted inside the row, so neither text nor postings are shuffled.
+    """
+    return with_statistics(index_blocks(corpus))
+
 
-def bm25_index(corpus: DataFrame, empty_items: DataFrame | None = None) -> Bm25Index:
-    """Index corpus(item_id, text); with ``empty_items`` the postings also tell empty items apart.
+def bm25_append(index: Bm25Index, corpus: DataFrame, segment: int) -> Bm25Index:
+    """The index with new items as one more segment: only their texts are read.
 
-    No text is shuffled: the length is counted in the row, and terms are summed per task before
-    (item, term, count) rows are sent.
+    ``segment`` counts up from 1; the blocks that are there are taken as they are.
     """
-    texts = corpus.select("item_id", "text")
-    if empty_items is not None:
-        texts = with_empty_flag(texts, empty_items)
-    item = [c for c in texts.columns if c != "text"]
-    counted = token_rows(texts, "text").groupBy(*item, "term").agg(F.count("*").alias("tf"))
-    counted = written_table(counted, "term-counts")
-    lengths = counted.groupBy("item_id").agg(F.sum("tf").alias("length"))
-    postings = written_table(counted.join(lengths, "item_id"), "postings")
-    documents = corpus.agg(F.count("*")).scalar()
-    counts = postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
-    raw_idf = F.log(documents - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
+    return with_statistics(index.blocks.unionByName(index_blocks(corpus, segment)))
+
+
+def bm25_remove(index: Bm25Index, removed: DataFrame) -> Bm25Index:
+    """The index without the items of removed(item_id); only blocks that hold one of them change."""
+    return with_statistics(without_items(index.blocks, removed))
+
+
+def with_statistics(blocks: DataFrame) -> Bm25Index:
+    """Statistics of all terms from one row per block and term, of all items from one row per block."""
+    totals = blocks.where(F.col("term").isNull()).agg(F.sum(F.size("items")).alias("items"), F.sum("words").alias("words")).first()
+    documents = totals["items"] or 0
+    lists = blocks.where(F.col("term").isNotNull())
+    counts = lists.groupBy("term").agg(F.sum(F.size("items")).alias("df"), F.sum("words").alias("cf"))
+    raw_idf = F.log(F.lit(documents) - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)
     counted = written_table(counts.withColumn("raw_idf", raw_idf), "terms")
     floor = vocab.BM25_EPSILON * counted.agg(F.avg("raw_idf")).scalar()
     terms = counted.withColumn("idf", F.when(F.col("raw_idf") < 0, floor).otherwise(F.col("raw_idf")))
-    average = F.try_divide(counted.agg(F.sum("cf")).scalar(), documents)
-    return Bm25Index(postings, terms, documents, average)
+    average = F.lit(totals["words"] / documents if documents else None).cast("double")
+    return Bm25Index(blocks, terms, F.lit(documents).cast("long"), average)
 
 
 def query_weights(index: Bm25Index, queries: DataFrame) -> DataFrame:
@@ -74,26 +96,43 @@ def bm25_score(index: Bm25Index, queries: DataFrame, weights: DataFrame | None =
 
     Postings of query terms are dealt by item once; the pairs of one item are then added up where
     they are made, so what is shuffled follows the postings and not the pairs. The pairs are many:
-    take bounds or the best of them in the same pass, as :func:`bm25_top` does.
+    :func:`bm25_matches` gives the best of them and scores few others.
     """
     weighted = query_weights(index, queries) if weights is None else weights
     k1, b = vocab.BM25_K1, vocab.BM25_B
     norm = k1 * (1 - b + b * F.col("length") / index.average_length)
-    per_term = index.postings.withColumn("part", F.col("tf") * (k1 + 1) / (F.col("tf") + norm)).drop("tf", "length")
     asked = broadcast_if_small(written_table(weighted.select("term").distinct(), "asked-terms"), QUERY_TERMS_BROADCAST)
-    dealt = per_term.join(asked, "term", "left_semi").repartition("item_id")
+    of_terms = replace(index, blocks=index.blocks.join(asked, "term", "left_semi")).postings
+    dealt = of_terms.withColumn("part", F.col("tf") * (k1 + 1) / (F.col("tf") + norm)).drop("tf", "length").repartition("item_id")
     score = F.round(F.sum(F.col("weight") * F.col("part")), PLACES).alias("score")
-    flag = [F.max("empty").alias("empty")] if "empty" in index.postings.columns else []
-    matched = dealt.join(broadcast_if_small(weighted, QUERY_TERMS_BROADCAST), "term")
-    return matched.groupBy("query_id", "item_id").agg(score, *flag)
+    return dealt.join(broadcast_if_small(weighted, QUERY_TERMS_BROADCAST), "term").groupBy("query_id", "item_id").agg(score)
+
+
+def bm25_matches(
+    index: Bm25Index, queries: DataFrame, k: int, empty_items: DataFrame | None = None, near: DataFrame | None = None, tolerance: float = 0.0
+) -> Matches:
+    """The best ``k`` matches of each query and the bounds of its scores, by the impacts of blocks."""
+    k1, b = vocab.BM25_K1, vocab.BM25_B
+    documents, average = blocks_figures(index)
+
+    def part(counts, lengths):
+        return counts * (k1 + 1) / (counts + k1 * (1 - b + b * lengths / average))
+
+    return best_matches(index.blocks, query_weights(index, queries), k, documents, part, empty_items, near, tolerance)
+
+
+def blocks_figures(index: Bm25Index) -> tuple[int, float]:
+    row = index.blocks.sparkSession.range(1).select(index.documents.alias("n"), index.average_length.alias("mean")).first()
+    return row["n"], row["mean"] or 1.0
 
 
 def bm25_top(index: Bm25Index, queries: DataFrame, k: int) -> DataFrame:
     """The best ``k`` matching items per query: (query_id, item_id, score, rank); ties by item.
 
-    Each task keeps its best ``k`` per query before anything is sent.
+    Each task sends its best ``k`` per query.
     """
-    return top_per_group(bm25_score(index, queries), "query_id", [F.desc("score"), F.asc("item_id")], k)
+    hits = bm25_matches(index, queries, k).hits.select("query_id", "item_id", "score")
+    return top_per_group(hits, "query_id", [F.desc("score"), F.asc("item_id")], k)
 
 
 # ---- normalisation and fusion ----------------------------------------------------------------
@@ -114,22 +153,6 @@ def minmax_normalize(scores: DataFrame, group: str = "query_id", value: str = "s
     )
 
 
-def lexical_bounds(scores: DataFrame, documents: Column) -> DataFrame:
-    """(query_id, low, high) of the BM25 scores over the whole corpus, where unmatched items count as 0.
-
-    Summed in the tasks that make the scores: one row per query and task is shuffled.
-    """
-    seen = scores.groupBy("query_id").agg(
-        F.min("score").alias("low"), F.max("score").alias("high"), F.count("*").alias("matched")
-    )
-    some_unmatched = F.col("matched") < documents
-    return written_table(seen.select(
-        "query_id",
-        F.when(some_unmatched, F.least("low", F.lit(0.0))).otherwise(F.col("low")).alias("low"),
-        F.when(some_unmatched, F.greatest("high", F.lit(0.0))).otherwise(F.col("high")).alias("high"),
-    ), "bounds")
-
-
 def scaled_score(value: Column) -> Column:
     return F.round(scale(value, F.col("low"), F.col("high")), PLACES)
 
@@ -163,50 +186,38 @@ def hybrid_hits(
     similarity = fetched.select("query_id", "item_id", (1 - F.col("distance")).alias("score"))
     # a few dozen rows per query; the rest of the plan reads them more than once
     near = written_table(minmax_normalize(similarity, out="vector").drop("score"), "near")
-    # flagged per item here, where it costs one row per item and not one per match
-    index = bm25_index(corpus, empty_items)
-    weights = query_weights(index, queries)
-    scores = bm25_score(index, queries, weights)  # computed in each pass, never stored
-    bounds = lexical_bounds(scores, index.documents)
+    index = bm25_index(corpus)
+    # scaling rounds to six places of the range, so what lies that close below the last may tie with it
+    found = bm25_matches(index, queries, k, empty_items, near, tolerance=2 * 10.0**-PLACES)
+    bounds = found.bounds.select("query_id", "low", "high")
     unmatched = bounds.select("query_id", scaled_score(F.lit(0.0)).alias("unmatched"))
-    best = _fuse(near, scores, bounds, empty_items, k)
+    best = _fuse(near, found.hits, bounds, empty_items)
     top = written_table(populated_first(best, "query_id", k, F.desc("score")), "fused")
     short = written_table(_queries_to_fill(queries, top, unmatched, k), "short")
     if short.isEmpty():
         return top
     items = corpus.select("item_id").union(vectors.select("item_id")).distinct()
-    few = bm25_score(index, queries, weights.join(short.select("query_id"), "query_id", "left_semi"))
+    few = bm25_score(index, queries.join(short.select("query_id"), "query_id", "left_semi"))
     scored = near.join(short, "query_id", "left_semi").select("query_id", "item_id").union(few.select("query_id", "item_id")).distinct()
     filled = _first_unscored(with_empty_flag(items, empty_items), scored, short, k)
     return populated_first(top.drop("rank").unionByName(filled), "query_id", k, F.desc("score"))
 
 
-def _fuse(near: DataFrame, scores: DataFrame, bounds: DataFrame, empty_items: DataFrame, k: int) -> DataFrame:
-    """All vector hits, and the best ``k`` text matches that are no vector hit, with fused scores.
+def _fuse(near: DataFrame, matches: DataFrame, bounds: DataFrame, empty_items: DataFrame) -> DataFrame:
+    """All vector hits, and the best text matches that are no vector hit, with fused scores.
 
-    A query has at most a few dozen vector hits but may match most of the corpus. In one pass
-    over the scores each task marks the matches that are hits and keeps its best ``k`` others per
-    query; only those rows are shuffled.
+    A query has some dozen rows on either side.
     """
     keys = ["query_id", "item_id"]
-    scaled = scores.join(broadcast_if_small(bounds, SUMMARY_BROADCAST), "query_id").select(
-        *keys, scaled_score(F.col("score")).alias("bm25"), "empty"
+    scaled = matches.join(broadcast_if_small(bounds, SUMMARY_BROADCAST), "query_id").select(
+        *keys, scaled_score(F.col("score")).alias("bm25"), "empty", F.col("near").alias("hit")
     )
-    near_keys = broadcast_if_small(near.select(*keys, F.col("vector").alias("near")), SUMMARY_BROADCAST)
-    marked = scaled.join(near_keys, keys, "left").withColumn("hit", F.col("near").isNotNull())
-    score = hybrid_score(F.coalesce("near", F.lit(0.0)), F.col("bm25"))
-    # hits come first in the rank and are no more than near has, so they never push a match out
-    limit = k + near.groupBy("query_id").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
-    window = Window.partitionBy("query_id").orderBy(F.desc("hit"), F.asc("empty"), F.desc("__score"), F.asc("item_id"))
-    ranked = marked.withColumn("__score", score).withColumn("__rank", F.row_number().over(window)).where(F.col("__rank") <= limit)
-    kept = written_table(ranked.select(*keys, F.col("__score").alias("score"), "near", "bm25", "empty", "hit"), "matches")
     unmatched = bounds.select("query_id", scaled_score(F.lit(0.0)).alias("unmatched"))
-    of_near = kept.where("hit").select(*keys, "bm25")
-    hits = near.join(of_near, keys, "left").join(unmatched, "query_id", "left").select(
+    hits = near.join(scaled.where("hit").select(*keys, "bm25"), keys, "left").join(unmatched, "query_id", "left").select(
         *keys, "vector", F.coalesce("bm25", "unmatched", F.lit(0.0)).alias("bm25")
     )
     flagged = with_empty_flag(hits.select(*keys, hybrid_score(F.col("vector"), F.col("bm25")).alias("score"), "vector", "bm25"), empty_items)
-    others = kept.where("NOT hit").select(*keys, "score", F.lit(0.0).alias("vector"), "bm25", "empty")
+    others = scaled.where("NOT hit").select(*keys, hybrid_score(F.lit(0.0), F.col("bm25")).alias("score"), F.lit(0.0).alias("vector"), "bm25", "empty")
     return flagged.unionByName(others)
 
 

@@ -76,6 +76,13 @@ def written_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt_out(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if it is read in fewer pieces than there are cores, as a small file with
+    one row group is. A large table has more pieces than cores and is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast only after checking that ``df`` has at most ``max_rows`` rows.
 

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillgrid.operators import ordering, retrieval
+from quillgrid.operators import impact, ordering, retrieval
 from quillgrid.operators.nearest import nearest
 from quillgrid.plans.retrieval import hybrid_queries
 
@@ -195,3 +195,100 @@ def test_every_question_with_a_vector_asks_with_it(spark):
 
     rows = {r.query_id: r.vector for r in hybrid_queries(Few).collect()}
     assert rows == {1: [1.0], 2: [2.0], 3: None}
+
+
+# ---- the index in blocks ---------------------------------------------------------------------
+
+WORDS = [f"w{i}" for i in range(60)]
+
+
+def texts_of(count, seed, copies=0):
+    """Texts of uneven words and lengths; the first ``copies`` are equal."""
+    draw = random.Random(seed)
+    some = lambda: " ".join(draw.choices(WORDS, [1 / (i + 1) for i in range(60)], k=int(draw.expovariate(0.05)) + 1))
+    same = some()
+    return [(i, same if i < copies else some()) for i in range(count)]
+
+
+def index_of(spark, rows, partitions=4, **kind):
+    return retrieval.bm25_index(spark.createDataFrame(rows, "item_id long, text string").repartition(partitions), **kind)
+
+
+def best_of_all(index, queries, k):
+    scores = retrieval.bm25_score(index, queries)
+    return {tuple(r) for r in ordering.top_per_group(scores, "query_id", [F.desc("score"), F.asc("item_id")], k).collect()}
+
+
+@pytest.mark.parametrize("copies", [0, 150])
+@pytest.mark.parametrize("k", [1, 7, 1000])
+def test_best_matches_are_those_of_all_matches(spark, k, copies):
+    index = retrieval.with_statistics(impact.index_blocks(spark.createDataFrame(texts_of(400, 5, copies), "item_id long, text string").repartition(3), block_items=32))
+    queries = spark.createDataFrame([(i, t) for i, t in texts_of(12, 9)] + [(50, "w0 w0 w1 nowhere"), (51, "nowhere"), (52, None)], "query_id long, text string")
+    assert {tuple(r) for r in retrieval.bm25_top(index, queries, k).collect()} == best_of_all(index, queries, k)
+
+
+def test_bounds_and_near_pairs_of_matches(spark):
+    index = index_of(spark, texts_of(300, 6))
+    queries = spark.createDataFrame([(i, t) for i, t in texts_of(10, 8)], "query_id long, text string")
+    empty = spark.createDataFrame([(i,) for i in range(0, 300, 3)], "item_id long")
+    near = spark.createDataFrame([(q, i) for q in range(10) for i in range(q, 300, 40)], "query_id long, item_id long")
+    scores = {}
+    for r in retrieval.bm25_score(index, queries).collect():
+        scores.setdefault(r.query_id, {})[r.item_id] = r.score
+    found = retrieval.bm25_matches(index, queries, 5, empty, near)
+    for r in found.bounds.collect():
+        every = list(scores[r.query_id].values())
+        every += [0.0] if len(every) < 300 else []
+        assert (r.low, r.high) == (min(every), max(every)) and r.scored <= len(scores[r.query_id])
+    hits = found.hits.collect()
+    asked = {(r.query_id, r.item_id) for r in near.collect()}
+    assert {(r.query_id, r.item_id) for r in hits if r.near} == {(q, i) for q, i in asked if i in scores.get(q, {})}
+    assert all(r.score == scores[r.query_id][r.item_id] and r.empty == (r.item_id % 3 == 0) for r in hits)
+    for q, own in scores.items():
+        for flag in (True, False):
+            others = sorted((-s, i) for i, s in own.items() if (q, i) not in asked and (i % 3 == 0) == flag)[:5]
+            best = sorted((-r.score, r.item_id) for r in hits if r.query_id == q and not r.near and r.empty == flag)
+            assert best[:5] == others
+
+
+def test_few_matches_are_scored(spark):
+    index = index_of(spark, texts_of(4000, 3), 2)
+    queries = spark.createDataFrame([(i, t) for i, t in texts_of(30, 4)], "query_id long, text string")
+    scored = retrieval.bm25_matches(index, queries, 5).bounds.agg(F.sum("scored")).first()[0]
+    assert scored < retrieval.bm25_score(index, queries).count() / 3
+
+
+def contents(index):
+    return {tuple(r) for r in index.postings.collect()}, {tuple(r) for r in index.terms.select("term", "df", "cf", F.round("idf", 9)).collect()}
+
+
+def test_appended_and_reduced_index_is_that_of_all_rows(spark):
+    rows = texts_of(300, 7) + [(900, ""), (901, None)]
+    whole = index_of(spark, rows)
+    parts = index_of(spark, rows[:200])
+    for segment, more in enumerate((rows[200:250], rows[250:]), 1):
+        parts = retrieval.bm25_append(parts, spark.createDataFrame(more, "item_id long, text string"), segment)
+    assert contents(parts) == contents(whole)
+    gone = [i for i, _ in rows if i % 7 == 2] + [901]
+    less = retrieval.bm25_remove(parts, spark.createDataFrame([(i,) for i in gone] + [(12345,)], "item_id long"))
+    expected = index_of(spark, [r for r in rows if r[0] not in gone])
+    assert contents(less) == contents(expected)
+    queries = spark.createDataFrame(texts_of(8, 2), "query_id long, text string")
+    assert {tuple(r) for r in retrieval.bm25_top(less, queries, 6).collect()} == best_of_all(expected, queries, 6)
+
+
+def test_building_an_index_shuffles_no_posting(spark, capsys):
+    corpus = spark.range(0, 100, 1, 8).select(F.col("id").alias("item_id"), F.lit("some words").alias("text"))
+    retrieval.bm25_index(corpus).postings.explain()
+    assert "Exchange" not in capsys.readouterr().out
+
+
+def test_batches_of_queries(spark):
+    index = index_of(spark, texts_of(150, 1))
+    queries = spark.createDataFrame(texts_of(20, 2), "query_id long, text string")
+    weights = retrieval.query_weights(index, queries)
+    documents, average = retrieval.blocks_figures(index)
+    part = lambda counts, lengths: counts * 2.5 / (counts + 1.5 * (0.25 + 0.75 * lengths / average))
+    matches = impact.best_matches(index.blocks, weights, 4, documents, part, batch_terms=40)
+    got = ordering.top_per_group(matches.hits.select("query_id", "item_id", "score"), "query_id", [F.desc("score"), F.asc("item_id")], 4)
+    assert {tuple(r) for r in got.collect()} == best_of_all(index, queries, 4)
