@@ -184,8 +184,11 @@ def value_documents(values: DataFrame) -> DataFrame:
     )
 
 
-def value_hints(hits: DataFrame, key: str) -> DataFrame:
-    """One prompt text per query: a line per hit in rank order. Hits are at most k per query."""
+def value_hints(hits: DataFrame, key: str, queries: DataFrame | None = None) -> DataFrame:
+    """One prompt text per query: a line per hit in rank order. Hits are at most k per query.
+
+    With ``queries`` every query has a text, which is "(none)" without hits.
+    """
     literal = text.sql_literal(F.col("value"), F.col("value_type"))
     meaning = F.when(F.col("aliases") != "", F.concat(F.lit(" meaning: "), F.col("aliases"), F.lit(";"))).otherwise("")
     line = F.concat(
@@ -193,7 +196,10 @@ def value_hints(hits: DataFrame, key: str) -> DataFrame:
         F.lit(" use this exact stored value when relevant."),
     )
     lines = hits.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("rank", line.alias("line")))).alias("lines"))
-    return lines.select(key, F.array_join(F.col("lines.line"), "\n").alias("hints"))
+    hints = lines.select(key, F.array_join(F.col("lines.line"), "\n").alias("hints"))
+    if queries is None:
+        return hints
+    return queries.select(key).distinct().join(hints, key, "left").select(key, F.coalesce("hints", F.lit("(none)")).alias("hints"))
 
 
 def column_lists(columns: DataFrame) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import vocab
-from ..session import written_table
+from ..session import broadcast_if_small, written_table
 
 
 def cell_text(df: DataFrame, column: str) -> Column:
@@ -232,14 +234,74 @@ def ablation_summary(comparison: DataFrame) -> DataFrame:
     )
 
 
+QUANTILE_BINS = 1024
+
+
+def exact_quantiles(df: DataFrame, group: str, value: str, shares: list[float], bins: int = QUANTILE_BINS) -> DataFrame:
+    """(group, share, quantile): interpolated quantiles of whole numbers per group, without sorting any group.
+
+    A quantile lies between two rows of known rank. Every pass counts the values of the interval that
+    holds a rank in ``bins`` equal bins and goes on with the bin that holds it, until an interval is one
+    value: a pass divides the interval by ``bins``. What is shuffled and held is one row per group, interval and
+    bin, so a group with all rows is no heavy task. Null values do not count; a group without values
+    has null quantiles. A null group is a group.
+    """
+    spark = df.sparkSession
+    rows = df.select(F.col(group).alias("group"), F.col(value).cast("long").alias("value"))
+    sizes = written_table(rows.groupBy("group").agg(F.count("value").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")), "sizes")
+    position = F.col("share") * (F.col("n") - 1)
+    wanted = sizes.where("n > 0").select("*", F.explode(F.array(*map(F.lit, shares))).alias("share")).select(
+        "group", "low", "high", F.explode(F.array(F.floor(position).cast("long"), F.ceil(position).cast("long"))).alias("rank")
+    )
+    open_ranks = written_table(wanted.distinct().withColumn("before", F.lit(0).cast("long")), "ranks")
+    found = []
+    while True:
+        found.append(open_ranks.where("low = high").select("group", "rank", F.col("low").alias("at_rank")))
+        open_ranks = open_ranks.where("low < high")
+        if open_ranks.isEmpty():
+            break
+        # whole numbers throughout: doubles would put values of large intervals into wrong bins
+        width = F.expr(f"(high - low) div {bins} + 1")
+        intervals = open_ranks.select("group", "low", "high").distinct().withColumn("width", width)
+        inside = rows.join(
+            broadcast_if_small(intervals.withColumnRenamed("group", "of"), 100_000),
+            F.col("group").eqNullSafe(F.col("of")) & F.col("value").between(F.col("low"), F.col("high")),
+        )
+        counted = inside.groupBy("group", "low", F.expr("(value - low) div width").alias("bin"), "width").count()
+        upto = Window.partitionBy("group", "low").orderBy("bin")
+        cumulated = counted.withColumn("upto", F.sum("count").over(upto)).withColumnRenamed("group", "of").withColumnRenamed("low", "from")
+        there = F.col("rank") - F.col("before")
+        holds = F.col("group").eqNullSafe(F.col("of")) & (F.col("low") == F.col("from")) & (there < F.col("upto")) & (there >= F.col("upto") - F.col("count"))
+        start = F.col("low") + F.col("bin") * F.col("width")
+        open_ranks = written_table(open_ranks.join(cumulated, holds).select(
+            "group", start.alias("low"), F.least(start + F.col("width") - 1, F.col("high")).alias("high"), "rank",
+            (F.col("before") + F.col("upto") - F.col("count")).alias("before"),
+        ), "ranks")
+    ranks = reduce(DataFrame.unionByName, found).select(F.col("group").alias("of"), "rank", "at_rank")
+    asked = sizes.select("group", "n", F.explode(F.array(*map(F.lit, shares))).alias("share")).withColumn("position", position)
+    at = lambda name, rank: ranks.select(F.col("of").alias(f"of_{name}"), F.col("rank").alias(f"rank_{name}"), F.col("at_rank").alias(name))
+    join = lambda left, name, rank: left.join(at(name, rank), F.col("group").eqNullSafe(F.col(f"of_{name}")) & (rank == F.col(f"rank_{name}")), "left")
+    both = join(join(asked, "below", F.floor("position").cast("long")), "above", F.ceil("position").cast("long"))
+    between = (F.ceil("position") - F.col("position")) * F.col("below") + (F.col("position") - F.floor("position")) * F.col("above")
+    return both.select(
+        F.col("group").alias(group), "share",
+        F.when(F.col("below") == F.col("above"), F.col("below").cast("double")).otherwise(between.cast("double")).alias("quantile"),
+    )
+
+
 def run_log_stats(log: DataFrame) -> DataFrame:
     """Per level: questions, errors, tokens, and milliseconds with their exact percentiles."""
-    return log.groupBy("level").agg(
+    shares = {50: 0.5, 90: 0.9, 95: 0.95}
+    figures = log.groupBy("level").agg(
         F.count("*").alias("questions"),
         F.count_if(F.col("correct") == 1).alias("correct"),
         F.count_if(F.coalesce(F.col("error"), F.lit("")) != "").alias("errors"),
         F.try_divide(F.sum("tokens"), F.count("tokens")).alias("mean_tokens"),
         F.try_divide(F.sum("ms"), F.count("ms")).alias("mean_ms"),
         F.max("ms").alias("max_ms"),
-        *[F.percentile("ms", F.lit(p / 100)).alias(f"p{p}_ms") for p in (50, 90, 95)],
     )
+    quantiles = exact_quantiles(log.select("level", "ms"), "level", "ms", list(shares.values()))
+    percentiles = quantiles.groupBy(F.col("level").alias("of_level")).agg(
+        *[F.max(F.when(F.col("share") == share, F.col("quantile"))).alias(f"p{p}_ms") for p, share in shares.items()]
+    )
+    return figures.join(percentiles, F.col("level").eqNullSafe(F.col("of_level"))).drop("of_level")

@@ -133,6 +133,19 @@ def date_columns(columns: list[str]) -> list[str]:
     return [c for c in columns if role_of(c) == "date"]
 
 
+def respread_all_dates(tables: dict[str, DataFrame], keys: dict[str, str], end_date: str, floors: dict[str, int] | None = None) -> dict[str, DataFrame]:
+    """Every table with its date columns, known by their names, spread over the window in key order.
+
+    A table in ``floors`` keeps the dates of the rows below its floor, such as entered starter rows;
+    tables without a date column are passed on as they are.
+    """
+    floors = floors or {}
+    return {
+        name: respread_dates(table, keys[name], dates, end_date, floors.get(name)) if (dates := date_columns(table.columns)) else table
+        for name, table in tables.items()
+    }
+
+
 def all_parents(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Key frames of the parents present among ``tables``."""
     keys = {parent: column for column, parent in vocab.PARENT_OF.items()}

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,3 +112,44 @@ def test_run_log_survives_quotes_and_line_breaks(spark, tmp_path):
     log = spark.createDataFrame([row], tables.RUN_LOG_SCHEMA)
     tables.write_run_log(log, str(tmp_path / "log"))
     assert [tuple(r) for r in tables.read_run_log(spark, str(tmp_path / "log")).collect()] == [row]
+
+
+def quantile_by_sort(values, share):
+    values = sorted(v for v in values if v is not None)
+    if not values:
+        return None
+    at = share * (len(values) - 1)
+    low, high = values[int(at)], values[min(int(at) + 1, len(values) - 1)]
+    return low + (high - low) * (at - int(at))
+
+
+@pytest.mark.parametrize("bins", [50, 1024])
+def test_exact_quantiles(spark, bins):
+    draw = random.Random(bins)
+    groups = {
+        "a": [draw.randint(-50, 50) for _ in range(301)], "b": [draw.randint(-10**15, 10**15) for _ in range(100)],
+        "c": [7], "d": [None, None], None: [1, 2, None, 4], "e": [5] * 400 + [6], "f": [0, 10**17],
+    }
+    rows = [(g, v) for g, values in groups.items() for v in values]
+    found = evaluate.exact_quantiles(spark.createDataFrame(rows, "g string, v long"), "g", "v", [0.0, 0.5, 0.95, 1.0], bins).collect()
+    assert len(found) == 4 * len(groups)
+    for r in found:
+        expected = quantile_by_sort(groups[r.g], r.share)
+        assert r.quantile is None if expected is None else r.quantile == pytest.approx(expected, rel=1e-12)
+
+
+def test_quantiles_of_one_hot_level_are_counted_in_bins(spark, monkeypatch):
+    """No task gets more than the bins: what is written per pass are ranks, what is shuffled are counts."""
+    rows = spark.range(0, 200_000, 1, 8).select(F.lit("all").alias("g"), (F.col("id") * 7919 % 1_000_003).alias("v"))
+    passes = []
+    written = evaluate.written_table
+    monkeypatch.setattr(evaluate, "written_table", lambda df, name: passes.append((name, (out := written(df, name)).count())) or out)
+    r = evaluate.exact_quantiles(rows, "g", "v", [0.5], bins=64).first()
+    assert r.quantile == quantile_by_sort([i * 7919 % 1_000_003 for i in range(200_000)], 0.5)
+    assert all(n <= 2 for name, n in passes) and len(passes) <= 2 + 5
+
+
+def test_run_log_without_milliseconds(spark):
+    log = spark.createDataFrame([("x", 1, None, 3, None), ("x", 0, "e", 5, None), (None, 1, "", 4, 8)], "level string, correct int, error string, tokens long, ms long")
+    stats = {r.level: (r.questions, r.correct, r.errors, r.max_ms, r.p50_ms, r.p95_ms) for r in evaluate.run_log_stats(log).collect()}
+    assert stats == {"x": (2, 1, 1, None, None, None), None: (1, 1, 0, 8, 8.0, 8.0)}

@@ -1,11 +1,13 @@
 import datetime
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from quillgrid.functions import vocab
 from quillgrid.operators import mutate, synth
 from quillgrid.sources import tables
-from quillgrid.streaming.refresh import StreamRefresh, change_stream, run_refresh
+from quillgrid.streaming.refresh import StreamRefresh, apply_batch, change_stream, run_refresh
 from tests.starter import frames
 
 END = "2025-12-31"
@@ -206,3 +208,66 @@ def test_all_children_follow_a_shrunk_parent(spark):
     first, second = mutate.repoint_children([(one, "fk"), (two, "parent")], kept)
     assert sorted((r.id, r.fk) for r in first.collect()) == [(1, 3), (2, 3), (3, None)]
     assert sorted((r.id, r.parent) for r in second.collect()) == [("x", "3"), ("y", "none")]
+
+
+def files_under(folder):
+    return sorted(os.path.relpath(os.path.join(d, f), folder) for d, _, names in os.walk(folder) for f in names if f.startswith("part-"))
+
+
+def by_bucket(state, by):
+    return state.groupBy(*by, "kind").agg(F.count("*").alias("n"), F.sum("value").alias("x"))
+
+
+def of_buckets(parts):
+    return parts.groupBy("kind").agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
+
+
+@pytest.mark.parametrize("combine", [None, of_buckets])
+def test_a_batch_writes_the_buckets_of_its_keys_only(spark, tmp_path, combine):
+    target = StreamRefresh(str(tmp_path / "out"), buckets=16)
+    step = apply_batch(target, "user", ["t", "id"], by_bucket if combine else lambda s: by_bucket(s, []), combine)
+    rows = [(u, u, "a", "xy"[u % 2], 1.0) for u in range(200)]
+    step(spark.createDataFrame(rows, SCHEMA), 0)
+    first = target.bucket_versions(spark, 1)
+    assert len(first) == 16
+    step(spark.createDataFrame([(7, 900, "b", "x", 50.0)], SCHEMA), 1)
+    second = target.bucket_versions(spark, 2)
+    assert sum(v == 2 for v in second.values()) == 1 and {b: v for b, v in second.items() if v == 1}.items() <= first.items()
+    assert len({f.split("/")[0] for f in files_under(target.state(2))}) == 1
+    assert {tuple(r) for r in spark.read.parquet(target.answers(2)).collect()} == {("x", 101, 150.0), ("y", 99, 99.0)}
+    state = target.current(spark, spark.createDataFrame([], SCHEMA).schema, 2)
+    assert state.count() == 200 and state.where("user = 7").first().value == 50.0
+    once = files_under(target.base)
+    step(spark.createDataFrame([(7, 900, "b", "x", 50.0)], SCHEMA), 1)  # replayed
+    assert {tuple(r) for r in spark.read.parquet(target.answers(2)).collect()} == {("x", 101, 150.0), ("y", 99, 99.0)}
+    assert len(files_under(target.base)) == len(once) and target.bucket_versions(spark, 2) == second
+    # what no version in use needs goes
+    step(spark.createDataFrame([(7, 901, "c", "y", 1.0)], SCHEMA), 2)
+    step(spark.createDataFrame([(7, 902, "d", "y", 2.0)], SCHEMA), 3)
+    kept = {f.split("/")[0] for f in files_under(f"{target.base}/state") if f"bucket={[b for b, v in second.items() if v == 2][0]}/" in f}
+    assert kept == {"v=3", "v=4"}
+
+
+def test_an_empty_batch(spark, tmp_path):
+    target = StreamRefresh(str(tmp_path / "out"))
+    step = apply_batch(target, "user", ["t", "id"], summarize)
+    step(spark.createDataFrame([], SCHEMA), 0)
+    assert spark.read.parquet(target.answers(1)).collect() == []
+    step(spark.createDataFrame([(None, 1, "a", "x", 1.0)], SCHEMA), 1)
+    assert target.current(spark, spark.createDataFrame([], SCHEMA).schema, 2).count() == 1
+
+
+def test_all_date_columns_by_name(spark):
+    assert synth.date_columns(["ord_id", "ord_dt", "strt_ts", "valid_to", "last_run", "ord_nm", "dt_cd"]) == ["ord_dt", "strt_ts", "valid_to", "last_run"]
+    tables = {
+        "ord_txn": spark.createDataFrame([(1, "x", "a"), (5, "y", "b"), (6, "z", "c"), (7, "w", "d")], "ord_id long, ord_dt string, note string"),
+        "att_log": spark.createDataFrame([(k, None, "1999-01-01") for k in range(3)], "att_id long, att_dt string, last_run string"),
+        "cd_mst": spark.createDataFrame([(1, "k")], "cd long, nm string"),
+    }
+    spread = synth.respread_all_dates(tables, {"ord_txn": "ord_id", "att_log": "att_id", "cd_mst": "cd"}, END, {"ord_txn": 5})
+    assert [tuple(r) for r in spread["ord_txn"].orderBy("ord_id").collect()][0] == (1, "x", "a")
+    dates = [r.ord_dt for r in spread["ord_txn"].where("ord_id >= 5").orderBy("ord_id").collect()]
+    assert dates[0] == "2020-01-01" and dates[-1] == END and dates == sorted(dates)
+    log = [tuple(r) for r in spread["att_log"].orderBy("att_id").collect()]
+    assert all(r[1] == r[2] for r in log) and (log[0][1], log[2][1]) == ("2020-01-01", END)
+    assert spread["cd_mst"] is tables["cd_mst"]

@@ -156,6 +156,29 @@ def test_values_of_narrow_columns(spark):
     assert hints.split("\n")[1] == "- ord_txn.stat_cd = 1; meaning: pending | pending order; use this exact stored value when relevant."
 
 
+def test_hints_of_a_query_without_hits(spark):
+    hits = spark.createDataFrame([(1, 1, "t", "c", "v", "TEXT", "")], "q long, rank int, `table` string, column string, value string, value_type string, aliases string")
+    asked = spark.createDataFrame([(1,), (2,), (2,)], "q long")
+    assert {r.q: r.hints for r in catalog.value_hints(hits, "q", asked).collect()} == {
+        1: "- t.c = 'v'; use this exact stored value when relevant.", 2: "(none)",
+    }
+
+
+def test_catalog_of_registered_tables(spark):
+    from quillgrid.sources.tables import TABLES, Tables
+
+    tables = Tables(spark, "/root/testdata/sf0.001").register()
+    try:
+        names = [r.table for r in catalog.catalog_tables(spark).collect()]
+        assert set(TABLES) <= set(names) and names == sorted(names)
+        assert [tuple(r) for r in catalog.catalog_columns(spark, {"region": tables.region}, {"region": ["r_regionkey"]}).orderBy("position").collect()] == [
+            ("region", "r_regionkey", "INTEGER", 0, True), ("region", "r_name", "TEXT", 1, False),
+        ]
+    finally:
+        for name in TABLES:
+            spark.catalog.dropTempView(name)
+
+
 def test_a_column_at_the_limit_is_kept(spark):
     at = spark.range(500).select(F.concat(F.lit("v"), F.col("id").cast("string")).alias("code"), F.lit(None).cast("string").alias("gone"))
     above = spark.range(501).select(F.concat(F.lit("v"), F.col("id").cast("string")).alias("code"))
