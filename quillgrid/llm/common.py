@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -37,6 +39,15 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(application)
 
 
+def release_memory() -> None:
+    """Give what a task has freed back to the system: allocators keep it otherwise, task after task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+    if trim:
+        trim(0)
+
+
 def in_tasks(df: DataFrame, function: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` with functions of this package.
 
@@ -53,7 +64,7 @@ def in_tasks(df: DataFrame, function: Callable[[Iterable[pa.RecordBatch]], Itera
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from function(sliced(batches))
-        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
+        release_memory()  # the worker goes on to other tasks
 
     return df.mapInArrow(run, schema)
 
