@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vocab
 from ..functions.text import token_estimate
-from ..operators import evaluate, sets
+from ..operators import delta, evaluate, sets
 from ..session import new_path, written_table
 from ..sources.tables import Tables, read_run_log, refresh_answers, write_run_log
 from .registry import query
@@ -263,3 +263,36 @@ def answers_refresh(t: Tables) -> DataFrame:
     """Every saved query again over the present tables, written as a new version."""
     answers = refresh_answers(t.spark, SAVED, t.all, new_path(t.spark, "answers"), 1)
     return answers.withColumn("cells", F.array_join("cells", "|"))
+
+
+# ---- saved sums kept up to date from changes -------------------------------------------------
+
+def changed_spend(t: Tables) -> DataFrame:
+    """Spend per customer: saved without pending orders; then these arrive, low priorities go, and urgent prices double."""
+    columns, sums = ["o_custkey", "o_totalprice"], {"total": F.col("o_totalprice")}
+    saved = t.orders.where("o_orderstatus <> 'P'")
+    state = written_table(delta.answer_state(saved.select(*columns), ["o_custkey"], sums), "spend")
+    urgent = saved.where("o_orderpriority = '1-URGENT'").select(*columns)
+    changes = delta.signed_changes(
+        t.orders.where("o_orderstatus = 'P'").select(*columns), saved.where("o_orderpriority = '5-LOW'").select(*columns),
+        (urgent, urgent.withColumn("o_totalprice", 2 * F.col("o_totalprice"))),
+    )
+    return delta.apply_changes(state, changes, ["o_custkey"], sums)
+
+
+SPEND_SQL = """
+SELECT o_custkey, count(*) AS orders, CAST(sum(CAST(CASE WHEN o_orderstatus <> 'P' AND o_orderpriority = '1-URGENT' THEN 2 ELSE 1 END
+  * o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM orders WHERE o_orderstatus = 'P' OR o_orderpriority <> '5-LOW' GROUP BY o_custkey"""
+
+
+@query("answers_delta", SPEND_SQL)
+def answers_delta(t: Tables) -> DataFrame:
+    return changed_spend(t).select("o_custkey", F.col("rows").alias("orders"), F.round("total", 2).cast("double").alias("total"))
+
+
+@query("answers_delta_top", f"SELECT * FROM ({SPEND_SQL}) ORDER BY total DESC, o_custkey LIMIT 10")
+def answers_delta_top(t: Tables) -> DataFrame:
+    """The ten largest spenders, read off the maintained state."""
+    top = delta.top_of_state(changed_spend(t), "total", ["o_custkey"], 10)
+    return top.select("o_custkey", F.col("rows").alias("orders"), F.round("total", 2).cast("double").alias("total"))

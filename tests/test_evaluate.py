@@ -153,3 +153,40 @@ def test_run_log_without_milliseconds(spark):
     log = spark.createDataFrame([("x", 1, None, 3, None), ("x", 0, "e", 5, None), (None, 1, "", 4, 8)], "level string, correct int, error string, tokens long, ms long")
     stats = {r.level: (r.questions, r.correct, r.errors, r.max_ms, r.p50_ms, r.p95_ms) for r in evaluate.run_log_stats(log).collect()}
     assert stats == {"x": (2, 1, 1, None, None, None), None: (1, 1, 0, 8, 8.0, 8.0)}
+
+
+def test_changed_state_is_that_of_a_full_run(spark, tmp_path):
+    from quillgrid.operators import delta
+
+    draw = random.Random(4)
+    schema = "k string, x double"
+    row = lambda: (draw.choice(["a", "b", "b", "b", None, "z"]), draw.choice([None, round(draw.uniform(-9, 9), 2)]))
+    frame_of = lambda rows: spark.createDataFrame(rows, schema)
+    contents = lambda df: {tuple(r) for r in df.collect()}
+    for keys in (["k"], []):
+        facts, sums = [row() for _ in range(60)] + [("gone", 1.5)], {"x": F.col("x")}
+        state = delta.answer_state(frame_of(facts), keys, sums)
+        for number in range(3):
+            inserted = [row() for _ in range(10)]
+            deleted = [facts.pop(draw.randrange(len(facts))) for _ in range(5)] + ([facts.pop(facts.index(("gone", 1.5)))] if ("gone", 1.5) in facts else [])
+            old = [facts.pop(draw.randrange(len(facts))) for _ in range(5)]
+            new = [(draw.choice("abcd"), x and x + 1) for _, x in old]
+            facts += inserted + new
+            changes = delta.signed_changes(frame_of(inserted), frame_of(deleted), (frame_of(old), frame_of(new)))
+            state.write.mode("overwrite").parquet(f"{tmp_path}/{len(keys)}-{number}")
+            saved = spark.read.parquet(f"{tmp_path}/{len(keys)}-{number}")
+            state = delta.apply_changes(saved, changes, keys, sums)
+            full = delta.answer_state(frame_of(facts), keys, sums)
+            assert contents(state) == contents(full) and state.dtypes == full.dtypes
+            if keys:
+                assert contents(delta.top_of_state(state, "x", keys, 2)) == contents(full.orderBy(F.desc("x"), "k").limit(2))
+
+
+def test_no_change_and_no_facts(spark):
+    from quillgrid.operators import delta
+
+    none = spark.createDataFrame([], "k string, x double")
+    state = delta.answer_state(none, ["k"], {"x": F.col("x")})
+    assert delta.apply_changes(state, delta.signed_changes(none), ["k"], {"x": F.col("x")}).collect() == []
+    one = delta.answer_state(none, [], {"x": F.col("x")})
+    assert [tuple(r) for r in delta.apply_changes(one, delta.signed_changes(none), [], {"x": F.col("x")}).collect()] == [(0, 0)]
