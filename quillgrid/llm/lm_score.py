@@ -12,7 +12,6 @@ of its own, from the counts of all words and from a model of letters; a second s
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -28,7 +27,9 @@ VOCABULARY = CLASSES * MEMBERS
 PAD = VOCABULARY
 OFFSETS = (-2, -1, 1, 2)
 STEP = 1 << 14  # words per step
-FLUSH_WORDS = 500_000
+BLOCK_CHARS, BLOCK_ROWS = 1 << 21, 20_000  # texts of together so many characters or rows, or one long text
+BLOCK_SHAPE = "ids array<long>, sizes array<int>, tokens binary, words array<string>, times array<long>"
+SAMPLE_BYTES = 1 << 16  # longer texts do not serve for the start, so the sample is bounded
 SHAPES = (
     ("words", (len(OFFSETS), VOCABULARY + 1, HIDDEN)), ("bias", (HIDDEN,)), ("to_class", (HIDDEN, CLASSES)), ("class_bias", (CLASSES,)),
     ("to_member", (CLASSES, HIDDEN, MEMBERS)), ("member_bias", (CLASSES, MEMBERS)),
@@ -144,27 +145,65 @@ def encoded(texts: Iterable[str], known: dict[str, int]) -> tuple[np.ndarray, np
     return ids, np.flatnonzero(ids != PAD), np.array(counts, np.int64)
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, n) over all texts; each task sums before it sends."""
-    schema = arrow_schema("word string, n long")
+def word_blocks(texts: DataFrame) -> DataFrame:
+    """(block, ids, sizes, tokens, words, times): consecutive texts with their words as numbers.
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+    A block has each of its words once, with its number of occurrences; tokens are places in that
+    list, as 32-bit numbers, compressed. So every text is split into words once, and what is known of
+    a word later travels to a block once, however often the block has it.
+    """
+    schema = arrow_schema(BLOCK_SHAPE)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", compression_level=1)
+        ids: list[int | None] = []
+        sizes: list[int] = []
+        parts: list[np.ndarray] = []
+        number: dict[str, int] = {}
+        chars = 0
 
         def out() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], schema=schema)
-            seen.clear()
-            return made
+            tokens = np.concatenate(parts)
+            times = np.bincount(tokens, minlength=len(number))
+            raw = tokens.tobytes()
+            columns = [ids, sizes, codec.compress(raw, asbytes=True) if raw else b"", list(number), times]
+            return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(columns, schema)], schema=schema)
 
         for batch in batches:
-            for text in batch.column("text"):
-                seen.update(text.as_py().lower().split())
-                if len(seen) >= FLUSH_WORDS:
+            for doc, text in zip(batch.column("id").to_pylist(), batch.column("text")):
+                text = text.as_py()
+                words = text.lower().split()
+                parts.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.uint32, len(words)))
+                ids.append(doc)
+                sizes.append(len(words))
+                chars += len(text)
+                if chars >= BLOCK_CHARS or len(ids) >= BLOCK_ROWS:
                     yield out()
-        if seen:
+                    ids, sizes, parts, number, chars = [], [], [], {}, 0
+        if ids:
             yield out()
 
-    return in_tasks(texts.select("text"), count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    made = in_tasks(texts.select("id", "text"), run, BLOCK_SHAPE)
+    return written_table(made.withColumn("block", F.monotonically_increasing_id()), "word-blocks")
+
+
+def tokens_of(packed: bytes, sizes: np.ndarray) -> np.ndarray:
+    size = int(sizes.sum())
+    return np.frombuffer(pa.Codec("zstd").decompress(packed, size * 4, asbytes=True) if size else b"", np.uint32)
+
+
+def padded(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word ids with two pads around each text, and the places of the words; as ``encoded`` gives them."""
+    at = np.arange(len(ids)) + 2 * (1 + np.repeat(np.arange(len(sizes)), sizes))
+    out = np.full(len(ids) + 2 * (len(sizes) + 1), PAD, np.int32)
+    out[at] = ids
+    return out, at
+
+
+def word_counts(blocks: DataFrame) -> DataFrame:
+    """(word, n) over all blocks."""
+    each = blocks.select(F.explode(F.arrays_zip("words", "times")).alias("w"))
+    return each.select(F.col("w.words").alias("word"), F.col("w.times").alias("n")).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def blocks_of(texts: Iterable[str], size: int = 1 << 21) -> Iterator[list[str]]:
@@ -180,7 +219,7 @@ def blocks_of(texts: Iterable[str], size: int = 1 << 21) -> Iterator[list[str]]:
         yield held
 
 
-def averaged(texts: DataFrame, known: dict[str, int], start: np.ndarray, rate: float) -> np.ndarray:
+def averaged(blocks: DataFrame, known: dict[str, int], start: np.ndarray, rate: float) -> np.ndarray:
     """Train on every document of every task from ``start``; the mean of the tasks' weights.
 
     The tasks' vectors are summed in blocks on the executors, in two levels, so neither a task
@@ -190,8 +229,10 @@ def averaged(texts: DataFrame, known: dict[str, int], start: np.ndarray, rate: f
     def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer, mark = Trainer(start, rate), 0
         for batch in batches:
-            for held in blocks_of(t.as_py() for t in batch.column("text")):
-                ids, at, _ = encoded(held, known)
+            for packed, sizes, words in zip(batch.column("tokens"), batch.column("sizes"), batch.column("words")):
+                sizes = sizes.values.to_numpy()
+                own = np.array([known.get(w, 0) for w in words.as_py()], np.int32)
+                ids, at = padded(own[tokens_of(packed.as_py(), sizes)], sizes)
                 trainer.learn(ids, at)
                 mark = (mark * 31 + len(at)) % 1_000_003
         if trainer.seen:
@@ -210,7 +251,7 @@ def averaged(texts: DataFrame, known: dict[str, int], start: np.ndarray, rate: f
         })
 
     shape = "block int, salt int, seen long, total binary"
-    vectors = in_tasks(texts.select("text"), train, shape)
+    vectors = in_tasks(blocks.select("tokens", "sizes", "words"), train, shape)
     summed = vectors.groupBy("block", "salt").applyInArrow(add, shape).groupBy("block").applyInArrow(add, shape)
     rows = summed.orderBy("block").collect()  # one vector
     if not rows:
@@ -241,7 +282,7 @@ def letter_logs(cells: np.ndarray) -> np.ndarray:
 
 
 def unknown_logs(counts: DataFrame, known: dict[str, int]) -> DataFrame:
-    """(word, log_p): log P(word | unknown) for every counted word outside ``known``.
+    """(word, known, log_p) of every counted word: its id and 0, or 0 and log P(word | unknown).
 
     Each word gives up one of its occurrences; what all have given up is dealt by the letters, so a
     word seen once has the probability of its spelling, and all words together have one. Only the
@@ -269,25 +310,29 @@ def unknown_logs(counts: DataFrame, known: dict[str, int]) -> DataFrame:
     cells[sums["cell"].to_numpy()] = sums["n"].to_numpy()
     n_words, total = int(sums["words"].to_numpy().sum()), int(sums["total"].to_numpy().sum())
     logs = letter_logs(cells).astype(np.float32)
-    schema = arrow_schema("word string, log_p double")
+    shape = "word string, known int, log_p double"
+    schema = arrow_schema(shape)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if rows := strange(batch):
-                at, first = letters_of([w for w, _ in rows])
-                spelled = np.add.reduceat(logs[at].astype(np.float64), first)
-                n = np.array([n for _, n in rows], np.float64)
-                with np.errstate(divide="ignore"):
-                    value = np.logaddexp(np.log((n - 1) / total), np.log(n_words / total) + spelled)
-                yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in rows], pa.string()), pa.array(value, pa.float64())], schema=schema)
+            if not batch.num_rows:
+                continue
+            words, n = batch.column("word").to_pylist(), batch.column("n").to_numpy().astype(np.float64)
+            ids = np.array([known.get(w, 0) for w in words], np.int32)
+            at, first = letters_of(words)
+            spelled = np.add.reduceat(logs[at].astype(np.float64), first)
+            with np.errstate(divide="ignore"):
+                value = np.logaddexp(np.log((n - 1) / max(total, 1)), np.log(max(n_words, 1) / max(total, 1)) + spelled)
+            value[ids > 0] = 0.0
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(ids), pa.array(value)], schema=schema)
 
-    return in_tasks(counts, score, "word string, log_p double")
+    return in_tasks(counts, score, shape)
 
 
-def train(texts: DataFrame, sample_docs: int = 400, sample_rounds: int = 4) -> tuple[dict[str, int], np.ndarray, DataFrame]:
+def train(texts: DataFrame, blocks: DataFrame, sample_docs: int = 400, sample_rounds: int = 4) -> tuple[dict[str, int], np.ndarray, DataFrame]:
     """(word ids, weights, counts of all words). Words and weights come from all texts; only the start is fitted on at
-    most ``sample_docs`` of them, chosen by a hash of the id."""
-    counts = written_table(word_counts(texts), "word-counts")
+    most ``sample_docs`` texts of up to SAMPLE_BYTES bytes, chosen by a hash of the id."""
+    counts = written_table(word_counts(blocks), "word-counts")
     top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - 1).collect()
     known = {r.word: k for k, r in enumerate(top, 1)}
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -296,7 +341,7 @@ def train(texts: DataFrame, sample_docs: int = 400, sample_rounds: int = 4) -> t
     shares[0] = max(0.0, 1.0 - shares.sum())
     flat = WindowNetwork.fresh(shares).flat
     # the ids are chosen first, so no task sends texts that another task's hash pushes out
-    keyed = texts.select("id", "text", F.xxhash64("text").alias("h"))
+    keyed = texts.where(F.octet_length("text") <= SAMPLE_BYTES).select("id", "text", F.xxhash64("text").alias("h"))
     chosen = written_table(keyed.select("id", "h").orderBy(F.xxhash64("id"), "h").limit(sample_docs), "lm-sample")
     own = F.broadcast(chosen.select(F.col("id").alias("own_id"), F.col("h").alias("own_h")).distinct())  # sample_docs rows
     sample = keyed.join(own, F.col("id").eqNullSafe(F.col("own_id")) & (F.col("h") == F.col("own_h")), "left_semi")
@@ -306,7 +351,7 @@ def train(texts: DataFrame, sample_docs: int = 400, sample_rounds: int = 4) -> t
         for part in blocks_of(held, 1 << 18):
             ids, at, _ = encoded(part, known)
             trainer.learn(ids, at)
-    return known, averaged(texts, known, trainer.net.flat, 0.05), counts
+    return known, averaged(blocks, known, trainer.net.flat, 0.05), counts
 
 
 def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -320,33 +365,36 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     change nothing; an empty table gives no rows.
     """
     texts = narrow(docs, id_col, text_col)
-    known, flat, counts = train(texts)
-    shape = "id long, n_tokens long, log_likelihood double, words array<string>, times array<long>"
+    blocks = word_blocks(texts)
+    known, flat, counts = train(texts, blocks)
+    shape = "id long, n_tokens long, log_likelihood double, n_unknown long, word_log_likelihood double"
     schema = arrow_schema(shape)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = WindowNetwork(flat)
+        sums = lambda values, ends, sizes: (lambda c: c[ends] - c[ends - sizes])(np.concatenate([[0], np.cumsum(values)]))
         for batch in batches:
-            sums: list[float] = []
-            counts: list[int] = []
-            strange: list[Counter] = []
-            for held in blocks_of(t.as_py() for t in batch.column("text")):
-                ids, at, sizes = encoded(held, known)
-                logs = np.concatenate([[0.0], np.cumsum(net.log_probabilities(ids, at), dtype=np.float64)])
-                ends = np.cumsum(sizes)
-                sums += (logs[ends] - logs[ends - sizes]).tolist()
-                counts += sizes.tolist()
-                strange += [Counter(w for w in text.lower().split() if w not in known) for text in held]
-            columns = [batch.column("id"), counts, sums, [list(c) for c in strange], [list(c.values()) for c in strange]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) if isinstance(c, list) else c for c, f in zip(columns, schema)], schema=schema)
-
-    scored = written_table(in_tasks(texts, run, shape).withColumn("row", F.monotonically_increasing_id()), "lm-scored")
-    each = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", "w.words", "w.times")
-    logs = unknown_logs(counts, known).withColumnRenamed("word", "words")
-    own = each.join(logs, "words").groupBy("row").agg(F.sum("times").alias("n_unknown"), F.sum(F.col("times") * F.col("log_p")).alias("log_p"))
-    joined = scored.drop("words", "times").join(own, "row", "left")
+            for docs_of, packed, sizes, found in zip(*(batch.column(c) for c in ("ids", "tokens", "sizes", "found"))):
+                sizes = sizes.values.to_numpy().astype(np.int64)
+                tokens, ends = tokens_of(packed.as_py(), sizes), np.cumsum(sizes)
+                if len(tokens):
+                    words = found.values
+                    place = words.field("place").to_numpy()
+                    own, own_logs = np.empty(len(place), np.int32), np.empty(len(place))
+                    own[place], own_logs[place] = words.field("known").to_numpy(), words.field("log_p").to_numpy()
+                    word_ids = own[tokens]
+                    ids, at = padded(word_ids, sizes)
+                    score = sums(net.log_probabilities(ids, at).astype(np.float64), ends, sizes)
+                    unknown, spelled = sums((word_ids == 0).astype(np.int64), ends, sizes), sums(own_logs[tokens], ends, sizes)
+                else:
+                    score, unknown, spelled = np.zeros(len(sizes)), np.zeros(len(sizes), np.int64), np.zeros(len(sizes))
+                columns = [docs_of.values, sizes, score, unknown, score + spelled]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    each = blocks.select("block", F.posexplode("words").alias("place", "word"))
+    # one row per block and word; a block's list is as long as its number of different words
+    found = each.join(unknown_logs(counts, known), "word").groupBy("block").agg(F.collect_list(F.struct("place", "known", "log_p")).alias("found"))
+    joined = blocks.select("block", "ids", "sizes", "tokens").join(found, "block", "left").drop("block")
+    scored = in_tasks(joined, run, shape)
     mean = lambda name: F.when(F.col("n_tokens") > 0, F.col(name) / F.col("n_tokens")).alias(f"mean_{name}")
-    return joined.select(
-        "id", "n_tokens", "log_likelihood", F.coalesce("n_unknown", F.lit(0)).alias("n_unknown"),
-        (F.col("log_likelihood") + F.coalesce("log_p", F.lit(0.0))).alias("word_log_likelihood"),
-    ).select("id", "n_tokens", "log_likelihood", mean("log_likelihood"), "n_unknown", "word_log_likelihood", mean("word_log_likelihood"))
+    return scored.select("id", "n_tokens", "log_likelihood", mean("log_likelihood"), "n_unknown", "word_log_likelihood", mean("word_log_likelihood"))

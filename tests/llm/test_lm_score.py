@@ -4,7 +4,8 @@ from collections import Counter
 
 import numpy as np
 
-from quillgrid.llm.lm_score import CONTEXTS, NEXT, PAD, SIZE, WindowNetwork, encoded, letter_logs, letters_of, pseudo_likelihood, unknown_logs, word_counts
+from quillgrid.llm.lm_score import CONTEXTS, NEXT, PAD, SIZE, WindowNetwork, encoded, letter_logs, letters_of, padded, pseudo_likelihood, tokens_of, train, unknown_logs, word_blocks, word_counts
+from quillgrid.llm.common import narrow
 
 
 def network(seed=0):
@@ -39,7 +40,7 @@ def test_slope():
 
 def test_counts_cover_all_texts(documents):
     expected = Counter(w for r in documents.collect() for w in r.text.lower().split())
-    got = {r.word: r.n for r in word_counts(documents.select("text")).collect()}
+    got = {r.word: r.n for r in word_counts(word_blocks(narrow(documents, "doc_id", "text"))).collect()}
     assert got == expected
 
 
@@ -91,9 +92,9 @@ def test_unknown_words_have_their_own_probability(make_docs):
     frame = make_docs(docs)
     rows = pseudo_likelihood(frame).collect()
     assert len(rows) == len(docs)
-    counts = word_counts(frame.select("text"))
-    known = {r.word: 1 for r in sorted(counts.collect(), key=lambda r: (-r.n, r.word))[:1023]}
-    logs = {r.word: r.log_p for r in unknown_logs(counts, known).collect()}
+    counts = word_counts(word_blocks(narrow(frame, "doc_id", "text")))
+    known = {r.word: k for k, r in enumerate(sorted(counts.collect(), key=lambda r: (-r.n, r.word))[:1023], 1)}
+    logs = {r.word: r.log_p for r in unknown_logs(counts, known).collect() if not r.known}
     assert not set(logs) & set(known) and len(logs) == counts.count() - 1023 and sum(map(math.exp, logs.values())) <= 1
     texts = {i: t for i, t in docs}
     for r in rows:
@@ -102,3 +103,41 @@ def test_unknown_words_have_their_own_probability(make_docs):
     value = {r.id: r.mean_word_log_likelihood for r in rows}
     prose = np.mean([value[10 + k] for k in range(len(rare))])
     assert prose > np.mean([value[2000 + k] for k in range(len(junk))]) + 5
+
+
+def test_blocks_hold_the_texts(odd_docs):
+    texts = narrow(odd_docs, "doc_id", "text")
+    got = []
+    for r in word_blocks(texts).collect():
+        sizes = np.array(r.sizes)
+        words = [r.words[t] for t in tokens_of(bytes(r.tokens), sizes)]
+        ends = np.cumsum(sizes)
+        got += [(i, words[e - n:e]) for i, n, e in zip(r.ids, sizes, ends)]
+    assert sorted(map(repr, got)) == sorted(repr((r.id, r.text.lower().split())) for r in texts.collect())
+
+
+def test_padded_is_encoded():
+    texts = ["a b c", "", "b", "c c a d"]
+    known = {"a": 1, "b": 2, "c": 3}
+    ids, at, sizes = encoded(texts, known)
+    got, places = padded(np.array([known.get(w, 0) for t in texts for w in t.split()], np.int32), sizes)
+    assert got.tolist() == ids.tolist() and places.tolist() == at.tolist()
+
+
+def test_plain_loop_over_words(spark, documents):
+    """log_likelihood recomputed word by word in plain Python from the trained weights."""
+    few = documents.orderBy("doc_id").limit(40).cache()
+    texts = narrow(few, "doc_id", "text")
+    blocks = word_blocks(texts)
+    known, flat, _ = train(texts, blocks)
+    net = WindowNetwork(flat)
+    rows = {r.id: r for r in pseudo_likelihood(few).collect()}
+    for r in few.collect()[:6]:
+        ids = [PAD, PAD, *(known.get(w, 0) for w in r.text.lower().split()), PAD, PAD]
+        total = 0.0
+        for k in range(2, len(ids) - 2):
+            h = np.tanh(sum(net.words[j][ids[k + o]] for j, o in enumerate((-2, -1, 1, 2))) + net.bias)
+            kind, member = divmod(ids[k], 32)
+            for logits, pick in ((h @ net.to_class + net.class_bias, kind), (h @ net.to_member[kind] + net.member_bias[kind], member)):
+                total += float(logits[pick]) - math.log(sum(math.exp(float(v)) for v in logits))
+        assert abs(total - rows[r.doc_id].log_likelihood) < 1e-3 * max(1.0, abs(total))
