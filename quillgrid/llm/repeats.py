@@ -8,9 +8,10 @@ only repeat where the trigger's bytes do.
 The dictionary holds each phrase once, with the smallest document it lies in; the parse is the
 list of phrases per document. A document whose phrase is known from a smaller one loses it whole,
 whatever the number of copies. What is left to compare are different phrases around one trigger:
-there the suffixes of the dictionary's phrases, taken to ``length`` bytes, are sorted, and equal
-neighbours give the smallest document of each string. So corpus order is only ever computed on
-distinct phrases that meet in a trigger, and never on copies.
+there the dictionary's phrases are sorted twice, by their suffixes from the trigger on and by what
+stands before it read backwards. A string is so many bytes before a trigger and the rest from it on;
+two strings are equal if their phrases lie in one run of each order that shares as many bytes. So
+corpus order is only ever computed on distinct phrases that meet in a trigger, and never on copies.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ordering import enumerate_rows
 from ..session import broadcast_if_small, written_table
 from .common import arrow_schema, in_tasks, ship_package
 from .minhash import mixed
@@ -34,6 +36,7 @@ BUCKET = 1 << 23  # bytes of text per bucket of triggers
 # A trigger with so many different phrases in one flush, or open ones in all, is spread over tasks.
 HOT_IN_FLUSH = 64
 HOT_IN_ALL = 10_000
+ENTRIES = 1 << 16  # phrases, or those of one trigger, that are sorted together
 # What a flush knows of a phrase: nothing, that a smaller document has it, that it is one of very
 # many of its trigger; and a mark that such a trigger exists.
 NEW, KNOWN, CROWDED, CROWD = range(4)
@@ -69,14 +72,14 @@ def prefix_hashes(data: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndar
 
 
 def phrases(data: np.ndarray, ends: np.ndarray, length: int, powers: Powers) -> tuple[np.ndarray, ...]:
-    """(trigger, phrase, first, last) of the texts in ``data``, which end at ``ends``.
+    """(trigger, phrase, first, last, chosen) of the texts in ``data``, which end at ``ends``.
 
-    first and last are the first and the last string of a phrase, as places in ``data``.
+    first and last are the first and the last string of a phrase, chosen is the trigger, as places in ``data``.
     """
     none = np.empty(0, np.uint64)
     strings = len(data) - length + 1
     if strings <= 0:
-        return none, none, none.astype(np.int64), none.astype(np.int64)
+        return none, none, none.astype(np.int64), none.astype(np.int64), none.astype(np.int64)
     sums, down = prefix_hashes(data, powers)
     grams = (sums[GRAM:] - sums[:-GRAM]) * down[:len(data) - GRAM + 1]
     least = (mixed(grams) & ~LOW) | np.arange(len(grams), dtype=np.uint64)
@@ -91,12 +94,12 @@ def phrases(data: np.ndarray, ends: np.ndarray, length: int, powers: Powers) ->
     inside[crossing[(crossing >= 0) & (crossing < strings)]] = False
     starts = np.flatnonzero(inside)
     if not len(starts):
-        return none, none, none.astype(np.int64), none.astype(np.int64)
+        return none, none, none.astype(np.int64), none.astype(np.int64), none.astype(np.int64)
     chosen = (least[starts] & LOW).astype(np.int64)
     new = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
     first, last = starts[new], starts[np.concatenate([new[1:], [len(starts)]]) - 1]
     phrase = mixed((sums[last + length] - sums[first]) * down[first] + (last - first).astype(np.uint64))
-    return mixed(grams[chosen[new]] + np.uint64(1)), phrase, first, last
+    return mixed(grams[chosen[new]] + np.uint64(1)), phrase, first, last, chosen[new]
 
 
 def chunks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -113,8 +116,8 @@ def chunks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, np.nd
         row = end
 
 
-ENTRY = (("mark", np.uint32), ("high", np.uint32), ("low", np.uint16), ("id", np.int64), ("variant", np.uint8), ("first", np.uint32), ("span", np.uint8), ("known", np.uint8))
-SQUEEZED = ("id", "variant", "first", "span", "known")
+ENTRY = (("mark", np.uint32), ("high", np.uint32), ("low", np.uint32), ("id", np.int64), ("variant", np.int64), ("first", np.uint32), ("span", np.uint32), ("anchor", np.uint32), ("known", np.uint8))
+SQUEEZED = ("id", "variant", "first", "span", "anchor", "known")
 
 
 def packed(entries: dict[str, np.ndarray]) -> bytes:
@@ -149,7 +152,7 @@ def parse(texts: DataFrame, length: int, buckets: int, hot: int = HOT_IN_FLUSH)
     schema = arrow_schema("bucket int, entries binary")
 
     def reduced(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        trigger, phrase, ids, variant, first, span = (np.concatenate([h[k] for h in held]) for k in range(6))
+        trigger, phrase, ids, variant, first, span, anchor = (np.concatenate([h[k] for h in held]) for k in range(7))
         if not len(trigger):
             return
         order = np.lexsort((ids, phrase, trigger))
@@ -166,14 +169,14 @@ def parse(texts: DataFrame, length: int, buckets: int, hot: int = HOT_IN_FLUSH)
             known[crowded & (known == NEW)] = CROWDED
             mark = np.zeros(len(crowds), np.int64)
             trigger, phrase = np.concatenate([trigger, crowds]), np.concatenate([phrase, mark.astype(np.uint64)])
-            ids, variant, first, span = (np.concatenate([a, mark.astype(a.dtype)]) for a in (ids, variant, first, span))
+            ids, variant, first, span, anchor = (np.concatenate([a, mark.astype(a.dtype)]) for a in (ids, variant, first, span, anchor))
             known = np.concatenate([known, np.full(len(crowds), CROWD, np.uint8)])
         anywhere = mixed(ids.astype(np.uint64) * np.uint64(BASE) + first.astype(np.uint64))
         route = np.where(known == KNOWN, anywhere, np.where(known == CROWDED, mixed(phrase + trigger), trigger))
         bucket = (route % np.uint64(buckets)).astype(np.int64)
         columns = {
-            "mark": trigger >> np.uint64(32), "high": phrase >> np.uint64(32), "low": phrase & np.uint64(0xFFFF),
-            "id": ids, "variant": variant, "first": first, "span": span, "known": known,
+            "mark": trigger >> np.uint64(32), "high": phrase >> np.uint64(32), "low": phrase & LOW,
+            "id": ids, "variant": variant, "first": first, "span": span, "anchor": anchor, "known": known,
         }
         order = np.argsort(bucket, kind="stable")
         edges = np.searchsorted(bucket[order], np.arange(buckets + 1)) if buckets < len(order) else None
@@ -188,10 +191,10 @@ def parse(texts: DataFrame, length: int, buckets: int, hot: int = HOT_IN_FLUSH)
         for batch in batches:
             ids, variants = batch.column("id").to_numpy(zero_copy_only=False), batch.column("variant").to_numpy(zero_copy_only=False)
             for row, end, data, ends in chunks(batch, "text"):
-                trigger, phrase, first, last = phrases(data, ends, length, powers)
+                trigger, phrase, first, last, chosen = phrases(data, ends, length, powers)
                 own = np.searchsorted(ends, first, side="right")
                 begins = np.concatenate([[0], ends[:-1]])
-                held.append((trigger, phrase, ids[row:end][own], variants[row:end][own], first - begins[own], last - first))
+                held.append((trigger, phrase, ids[row:end][own], variants[row:end][own], first - begins[own], last - first, chosen - first))
                 size += len(data)
                 if size >= FLUSH:
                     yield from reduced(held)
@@ -203,12 +206,12 @@ def parse(texts: DataFrame, length: int, buckets: int, hot: int = HOT_IN_FLUSH)
 
 
 def dictionary(entries: DataFrame) -> DataFrame:
-    """(id, variant, first, span, known, trigger) of the phrases that are settled or still open.
+    """(id, variant, first, span, anchor, known, trigger) of the phrases that are settled or still open.
 
     known: the phrase lies in a smaller document. Otherwise the document is the smallest with it,
     and the phrase is open if its trigger has other phrases too.
     """
-    schema = arrow_schema("id long, variant int, first int, span int, known boolean, trigger long")
+    schema = arrow_schema("id long, variant long, first int, span int, anchor int, known boolean, trigger long")
 
     def settle(table: pa.Table) -> pa.Table:
         parts = [unpacked(b.as_py()) for b in table["entries"]]
@@ -229,10 +232,10 @@ def dictionary(entries: DataFrame) -> DataFrame:
         keep = ~crowd & (known | (way == CROWDED) | (kinds > 1))
         # phrases of one trigger carry one number, whichever way they came
         trigger = e["mark"].astype(np.int64)
-        out = {"id": e["id"], "variant": e["variant"], "first": e["first"], "span": e["span"], "known": known, "trigger": trigger}
+        out = {"id": e["id"], "variant": e["variant"], "first": e["first"], "span": e["span"], "anchor": e["anchor"], "known": known, "trigger": trigger}
         return pa.Table.from_arrays([pa.array(out[f.name][keep], f.type, safe=False) for f in schema], schema=schema)
 
-    return entries.groupBy("bucket").applyInArrow(settle, "id long, variant int, first int, span int, known boolean, trigger long")
+    return entries.groupBy("bucket").applyInArrow(settle, "id long, variant long, first int, span int, anchor int, known boolean, trigger long")
 
 
 def squeezed(texts: DataFrame) -> DataFrame:
@@ -245,7 +248,7 @@ def squeezed(texts: DataFrame) -> DataFrame:
             packed = [len(t).to_bytes(8, "little") + (codec.compress(t, asbytes=True) if t else b"") for t in raw]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("variant"), pa.array(packed, pa.binary())], names=["id", "variant", "packed"])
 
-    return in_tasks(texts.select("id", "variant", "text"), run, "id long, variant int, packed binary")
+    return in_tasks(texts.select("id", "variant", "text"), run, "id long, variant long, packed binary")
 
 
 def unsqueezed(packed: bytes) -> bytes:
@@ -254,9 +257,9 @@ def unsqueezed(packed: bytes) -> bytes:
 
 
 def open_phrases(texts: DataFrame, asked: DataFrame, length: int) -> DataFrame:
-    """(trigger, id, variant, first, bytes) of the open phrases, read off their texts."""
-    schema = arrow_schema("trigger long, id long, variant int, first int, bytes binary")
-    lists = asked.groupBy("id", "variant").agg(F.collect_list(F.struct("trigger", "first", "span")).alias("asked"))
+    """(trigger, id, variant, first, anchor, bytes) of the open phrases, read off their texts."""
+    schema = arrow_schema("trigger long, id long, variant long, first int, anchor int, bytes binary")
+    lists = asked.groupBy("id", "variant").agg(F.collect_list(F.struct("trigger", "first", "span", "anchor")).alias("asked"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -265,51 +268,85 @@ def open_phrases(texts: DataFrame, asked: DataFrame, length: int) -> DataFrame:
             for doc, variant, packed, wanted in rows:
                 whole = unsqueezed(packed.as_py())
                 for w in wanted.as_py():
-                    out.append((w["trigger"], doc, variant, w["first"], whole[w["first"]:w["first"] + w["span"] + length]))
+                    out.append((w["trigger"], doc, variant, w["first"], w["anchor"], whole[w["first"]:w["first"] + w["span"] + length]))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(schema)], schema=schema)
 
     joined = squeezed(texts).join(lists, ["id", "variant"]).select("id", "variant", "packed", "asked")
-    return in_tasks(joined, run, "trigger long, id long, variant int, first int, bytes binary")
+    return in_tasks(joined, run, "trigger long, id long, variant long, first int, anchor int, bytes binary")
+
+
+def shared_bytes(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, shared) of a matrix of bytes: its rows in byte order, and how many leading bytes each has
+    in common with the row before in that order (-1 for the first)."""
+    words = np.ascontiguousarray(rows).view(">u8").astype(np.uint64)
+    order = np.lexsort(words.T[::-1])
+    ordered = rows[order]
+    differ = ordered[1:] != ordered[:-1]
+    shared = np.where(differ.any(axis=1), differ.argmax(axis=1), rows.shape[1])
+    return order, np.concatenate([[-1], shared])
+
+
+def repeated_in(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray, anchors: np.ndarray, ids: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(entry, offset) of the strings of phrases that a phrase of a smaller document has too.
+
+    Phrases are ``sizes`` bytes of ``data`` from ``begins`` on, with their trigger ``anchors`` bytes
+    behind; equal strings have the same trigger at the same place.
+    """
+    width = -(-length // 8) * 8
+    places = np.arange(width)
+    inside = lambda at: np.where((at >= 0) & (at < sizes[:, None]), data[np.clip(begins[:, None] + at, 0, len(data) - 1)], 0).astype(np.uint8)
+    after, after_shared = shared_bytes(inside(anchors[:, None] + places))
+    before, before_shared = shared_bytes(inside(anchors[:, None] - 1 - places))
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    left, right = np.empty(len(ids), np.int64), np.empty(len(ids), np.int64)
+    for k in range(length - GRAM + 1):  # strings that start k bytes before the trigger
+        rows = np.flatnonzero((anchors >= k) & (anchors - k + length <= sizes))
+        if len(rows) < 2:
+            continue
+        left[before], right[after] = np.cumsum(before_shared < k), np.cumsum(after_shared < length - k)
+        key = (left[rows] << 32) | right[rows]
+        order = np.argsort(key)
+        key, docs = key[order], ids[rows[order]]
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        least = np.minimum.reduceat(docs, np.flatnonzero(new))[np.cumsum(new) - 1]
+        hit = rows[order[docs > least]]
+        found.append((hit, anchors[hit] - k))
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    entry, offset = (np.concatenate([f[j] for f in found]) for j in (0, 1))
+    order = np.lexsort((offset, entry))
+    return entry[order], offset[order]
 
 
 def repeated_strings(opened: DataFrame, length: int, parts: int) -> DataFrame:
     """(id, variant, first, size) of the stretches of open phrases that lie in a smaller document."""
-    schema = arrow_schema("id long, variant int, first int, size int")
+    schema = arrow_schema("id long, variant long, first int, size int")
 
     def compare(table: pa.Table) -> pa.Table:
-        powers = Powers()
-        found: list[list[np.ndarray]] = [[], [], [], []]
-        texts = table["bytes"].combine_chunks()
-        blobs = texts.to_pylist()
+        blobs = table["bytes"].combine_chunks().to_pylist()
         sizes = np.array([len(b) for b in blobs], np.int64)
-        ends = np.cumsum(sizes)
-        data = np.frombuffer(b"".join(blobs), np.uint8)
-        sums, down = prefix_hashes(data, powers)
-        counts = np.maximum(sizes - length + 1, 0)
-        entry = np.repeat(np.arange(len(sizes)), counts)
-        offset = np.arange(len(entry)) - np.repeat(np.cumsum(counts) - counts, counts)
-        at = (ends - sizes)[entry] + offset
-        suffix = (sums[at + length] - sums[at]) * down[at]
-        trigger, ids = table["trigger"].to_numpy()[entry], table["id"].to_numpy()[entry]
-        order = np.lexsort((ids, suffix, trigger))  # the dictionary's suffixes, to this length, in order
-        t, s, d = trigger[order], suffix[order], ids[order]
-        new = np.concatenate([[True], (t[1:] != t[:-1]) | (s[1:] != s[:-1])]) if len(order) else np.empty(0, bool)
-        hit = np.zeros(len(order), bool)
-        if len(order):
-            hit[order] = d > d[np.flatnonzero(new)][np.cumsum(new) - 1]
-        rows = np.flatnonzero(hit)
-        if len(rows):
-            start = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1] + 1) | (entry[rows[1:]] != entry[rows[:-1]])]))
-            stop = np.concatenate([start[1:], [len(rows)]]) - 1
-            e = entry[rows[start]]
-            found = [
-                table["id"].to_numpy()[e], table["variant"].to_numpy()[e],
-                table["first"].to_numpy()[e] + offset[rows[start]], offset[rows[stop]] - offset[rows[start]] + length,
-            ]
-        return pa.Table.from_arrays([pa.array(f, s.type, safe=False) for f, s in zip(found, schema)], schema=schema)
+        begins, data = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(blobs), np.uint8)
+        trigger, ids, variant, first, anchors = (table[c].to_numpy() for c in ("trigger", "id", "variant", "first", "anchor"))
+        order = np.argsort(trigger, kind="stable")
+        starts = np.flatnonzero(np.concatenate([[True], trigger[order][1:] != trigger[order][:-1]]))
+        stops = np.concatenate([starts[1:], [len(order)]])
+        found: list[list[np.ndarray]] = [[], [], [], []]
+        at = 0
+        while at < len(order):  # whole triggers, together about ENTRIES phrases
+            end = int(stops[min(np.searchsorted(stops, at + ENTRIES), len(stops) - 1)])
+            rows = order[at:end]
+            at = end
+            entry, offset = repeated_in(data, begins[rows], sizes[rows], anchors[rows].astype(np.int64), ids[rows], length)
+            if len(entry):
+                begin = np.flatnonzero(np.concatenate([[True], (offset[1:] != offset[:-1] + 1) | (entry[1:] != entry[:-1])]))
+                last = np.concatenate([begin[1:], [len(entry)]]) - 1
+                e = rows[entry[begin]]
+                for column, value in zip(found, (ids[e], variant[e], first[e] + offset[begin], offset[last] - offset[begin] + length)):
+                    column.append(value)
+        return pa.Table.from_arrays([pa.array(np.concatenate(f) if f else [], s.type, safe=False) for f, s in zip(found, schema)], schema=schema)
 
     grouped = opened.withColumn("part", F.pmod(F.xxhash64("trigger"), F.lit(parts))).groupBy("part")
-    return grouped.applyInArrow(compare, "id long, variant int, first int, size int")
+    return grouped.applyInArrow(compare, "id long, variant long, first int, size int")
 
 
 def crowded_strings(opened: DataFrame, length: int) -> DataFrame:
@@ -329,8 +366,8 @@ def crowded_strings(opened: DataFrame, length: int) -> DataFrame:
                     column += value
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    schema = arrow_schema("trigger long, suffix long, id long, variant int, first int")
-    strings = in_tasks(opened, run, "trigger long, suffix long, id long, variant int, first int")
+    schema = arrow_schema("trigger long, suffix long, id long, variant long, first int")
+    strings = in_tasks(opened, run, "trigger long, suffix long, id long, variant long, first int")
     strings = written_table(strings, "crowded-strings")
     least = written_table(strings.groupBy("trigger", "suffix").agg(F.min("id").alias("least")), "crowded-least")
     hits = strings.join(least, ["trigger", "suffix"]).where("id > least")
@@ -381,15 +418,14 @@ def repeated_passages(
     digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
     heads = written_table(texts.select("id", digest.alias("digest"), F.octet_length("text").cast("long").alias("size")), "heads")
     known = heads.where("id IS NOT NULL")
-    # ids that stand for several texts: each text of them has a number of its own
-    several = known.groupBy("id").agg(F.count_distinct("digest").alias("kinds")).where("kinds > 1").select("id")
-    several = written_table(
-        known.join(several, "id", "left_semi").groupBy("id").agg(F.array_sort(F.collect_set("digest")).alias("all"))
-        .select("id", F.posexplode("all").alias("variant", "digest")), "several",
-    )
+    # ids that stand for several texts: each text of them has a number of its own, by a sort over ranges
+    several = written_table(known.groupBy("id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low < high").select("id"), "several")
     unique = several.isEmpty()
-    numbered = lambda df: df.withColumn("variant", F.lit(0)) if unique else (
-        df.join(several, ["id", "digest"], "left").withColumn("variant", F.coalesce("variant", F.lit(0)))
+    if not unique:
+        kinds = known.join(broadcast_if_small(several, 2_000_000), "id", "left_semi").select("id", "digest").distinct()
+        several = written_table(enumerate_rows(kinds, "id", "digest", name="variant"), "variants")
+    numbered = lambda df: df.withColumn("variant", F.lit(0).cast("long")) if unique else (
+        df.join(several, ["id", "digest"], "left").withColumn("variant", F.coalesce("variant", F.lit(0).cast("long")))
     )
     texts = numbered(texts if unique else texts.withColumn("digest", digest)).select("id", "variant", "text")
     firsts = known.groupBy("digest").agg(F.min("id").alias("smallest"), F.max("id").alias("largest")).where("smallest < largest")
@@ -402,7 +438,7 @@ def repeated_passages(
     skipped = broadcast_if_small(copies.select("id", "variant"), 2_000_000)
     originals = texts.where(F.col("id").isNotNull() & (F.octet_length("text") >= length)).join(skipped, ["id", "variant"], "left_anti")
     settled = written_table(dictionary(parse(originals, length, buckets, hot_in_flush)), "phrases")
-    asked = settled.where("NOT known").select("id", "variant", "trigger", "first", "span")
+    asked = settled.where("NOT known").select("id", "variant", "trigger", "first", "span", "anchor")
     crowds = written_table(asked.groupBy("trigger").agg(F.count("*").alias("n")).where(F.col("n") > hot_in_all).select("trigger"), "crowds")
     opened = open_phrases(texts, asked, length)
     if crowds.isEmpty():

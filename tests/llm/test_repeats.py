@@ -1,9 +1,11 @@
 import hashlib
+import os
 import random
 
+import numpy as np
 import pytest
 
-from quillgrid.llm.repeats import repeated_passages
+from quillgrid.llm.repeats import repeated_passages, shared_bytes
 
 
 def brute(rows, length):
@@ -86,3 +88,28 @@ def test_ids_with_several_texts(make_docs):
     a, b = "".join(f"w{i} " for i in range(40)), "".join(f"v{i} " for i in range(40))
     rows = [(1, a), (1, b), (1, a + b), (2, b + a), (2, a), (2, a), (3, "new " + b)]
     assert got(repeated_passages(make_docs(rows))) == brute(rows, 50)
+
+
+@pytest.mark.parametrize("texts", [2, 300])
+def test_many_texts_of_one_id(make_docs, texts):
+    random.seed(8)
+    word = lambda n: "".join(random.choice("abcdefgh ") for _ in range(n))
+    passage = word(400)
+    rows = [(1, passage)] + [(7, word(random.randint(0, 40)) + passage[(a := random.randint(0, 300)):a + random.randint(40, 90)] + word(30)) for _ in range(texts)]
+    assert got(repeated_passages(make_docs(rows))) == brute(rows, 50)
+
+
+@pytest.mark.parametrize("length", [16, 50, 300])
+def test_other_lengths(make_docs, length):
+    random.seed(9)
+    parts = ["".join(random.choice("abc") for _ in range(random.randint(100, 400))) for _ in range(6)]
+    rows = [(i, "".join(random.choice(parts) for _ in range(random.randint(0, 4)))) for i in range(40)]
+    assert got(repeated_passages(make_docs(rows), length=length)) == brute(rows, length)
+
+
+def test_orders_of_phrases():
+    rows = np.random.default_rng(3).integers(0, 2, (500, 16), dtype=np.uint8)
+    order, shared = shared_bytes(rows)
+    ordered = [bytes(r) for r in rows[order]]
+    assert ordered == sorted(map(bytes, rows))
+    assert shared.tolist() == [-1] + [len(os.path.commonprefix([a, b])) for a, b in zip(ordered, ordered[1:])]
