@@ -160,6 +160,41 @@ def recall_and_rank(ranks: DataFrame, k: int) -> DataFrame:
     )
 
 
+def settings_grid(ranks: DataFrame, ks: list[int], cuts: list[float]) -> DataFrame:
+    """Recall and mean rank for every (k, cut) in one pass over ranks(rank, distance).
+
+    An expected item counts for a setting if its rank is at most ``k`` and its distance at most
+    ``cut``. Each row is counted once, in the cell of the smallest settings it satisfies; sums of
+    the cells along both axes give all settings, so neither rows nor searches multiply with them.
+    Rows without rank or distance, or beyond all settings, count as expected only; NaN is beyond
+    every cut. Repeated settings are one. An empty table has recall and mean rank NULL.
+    """
+    ks, cuts = sorted(set(ks)), sorted(set(map(float, cuts)))
+    # number of settings that are too small for the row: its place on the axis
+    beyond = lambda settings, value, kind: F.size(F.filter(F.array(*map(F.lit, settings)).cast(f"array<{kind}>"), lambda x: x < value))
+    seen = F.col("rank").isNotNull() & F.col("distance").isNotNull()
+    cells = written_table(
+        ranks.groupBy(
+            F.when(seen, beyond(ks, F.col("rank"), "long")).alias("k_at"), F.when(seen, beyond(cuts, F.col("distance"), "double")).alias("cut_at")
+        ).agg(F.count("*").alias("n"), F.sum("rank").cast("long").alias("sum_rank")),
+        "cells",
+    )
+    expected = cells.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    places = lambda settings, kind: F.posexplode(F.array(*map(F.lit, settings)).cast(f"array<{kind}>"))
+    settings = ranks.sparkSession.range(1).select(places(ks, "long").alias("k_at", "k")).select(
+        "k_at", "k", places(cuts, "double").alias("cut_at", "cut")
+    )
+    # at most (settings of k + 1) * (cuts + 1) + 1 cells, whatever the size of the table
+    filled = settings.join(F.broadcast(cells), ["k_at", "cut_at"], "left")
+    upto = lambda group, order: Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    along = lambda df, window: df.select("k_at", "cut_at", "k", "cut", *[F.sum(c).over(window).alias(c) for c in ("n", "sum_rank")])
+    sums = along(along(filled.fillna(0, ["n", "sum_rank"]), upto("k_at", "cut_at")), upto("cut_at", "k_at"))
+    return sums.select(
+        "k", "cut", expected.cast("long").alias("expected"), F.col("n").alias("found"),
+        F.try_divide("n", expected).alias("recall"), F.try_divide("sum_rank", "n").alias("mean_rank"),
+    )
+
+
 def distance_ranges(decisions: DataFrame) -> DataFrame:
     """Smallest and largest distance per expected class: decisions(expected, distance)."""
     return decisions.groupBy("expected").agg(

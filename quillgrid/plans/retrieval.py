@@ -193,7 +193,7 @@ def expected_items(t: Tables) -> DataFrame:
 RANKS_SQL = f"""{distances(VECTORS_SQL, SELF_SQL, OTHERS)},
 expected AS (SELECT vec_id AS query_id, item_id FROM embeddings JOIN (SELECT label, min(vec_id) AS item_id FROM embeddings GROUP BY label) USING (label)
              WHERE vec_id <> item_id),
-ranks AS (SELECT e.query_id, e.item_id, d.rank FROM expected e
+ranks AS (SELECT e.query_id, e.item_id, d.rank, d.distance FROM expected e
           LEFT JOIN dist d ON d.query_id = e.query_id AND d.item_id = e.item_id AND d.rank <= {RANK_K})"""
 
 
@@ -217,6 +217,22 @@ def mean_rank(t: Tables) -> DataFrame:
     return evaluate.recall_and_rank(ranks(t), RANK_K).select("mean_rank")
 
 
+GRID_KS, GRID_CUTS = [1, 2, 3, 5, RANK_K], [i / 10 for i in range(1, 21)]
+
+
+@query("recall_grid", f"""
+WITH {RANKS_SQL}, settings AS (SELECT unnest({GRID_KS})::BIGINT AS k, cut FROM (SELECT unnest({GRID_CUTS})::DOUBLE AS cut)),
+found AS (SELECT k, cut, count(r.rank) AS found, sum(r.rank) AS sum_rank
+          FROM settings LEFT JOIN (SELECT * FROM ranks WHERE rank IS NOT NULL) r ON r.rank <= k AND r.distance <= cut GROUP BY k, cut)
+SELECT k, cut, (SELECT count(*) FROM ranks) AS expected, found, found / (SELECT count(*) FROM ranks) AS recall,
+       CAST(sum_rank AS DOUBLE) / nullif(found, 0) AS mean_rank FROM found""")
+def recall_grid(t: Tables) -> DataFrame:
+    """All settings of k and of the largest accepted distance, from one search."""
+    hits = nearest(vectors(t), vector_queries(t), RANK_K, exclude_self=True)
+    found = expected_items(t).join(hits.select("query_id", "item_id", "rank", "distance"), ["query_id", "item_id"], "left")
+    return evaluate.settings_grid(found, GRID_KS, GRID_CUTS)
+
+
 # ---- scores ----------------------------------------------------------------------------------
 
 SCALE_SQL = "CASE WHEN high = low THEN CASE WHEN high = 0 THEN 0.0 ELSE 1.0 END ELSE ({v} - low) / (high - low) END"

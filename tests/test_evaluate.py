@@ -84,6 +84,26 @@ def test_recall_and_rank(spark):
     assert (row.expected, row.found, row.recall, row.mean_rank) == (4, 3, 0.5, 2.0)
 
 
+def test_settings_grid_equals_single_runs(spark):
+    draw = random.Random(5)
+    rows = [(draw.randint(1, 9), draw.choice([0.1, 0.25, 0.5, 0.9, 1.5])) for _ in range(300)]
+    rows += [(None, None), (None, 0.1), (2, None), (1, float("nan"))]
+    ranks = spark.createDataFrame(rows, "rank long, distance double")
+    ks, cuts = [8, 1, 3, 3, 5], [0.5, 0.1, 1.0, 0.25]
+    grid = {(r.k, r.cut): (r.expected, r.found, r.recall, r.mean_rank) for r in evaluate.settings_grid(ranks, ks, cuts).collect()}
+    assert set(grid) == {(k, c) for k in ks for c in cuts}
+    for (k, cut), got in grid.items():
+        hits = [r for r, d in rows if r is not None and d is not None and r <= k and d <= cut]
+        mean = sum(hits) / len(hits) if hits else None
+        assert got == (len(rows), len(hits), len(hits) / len(rows), mean)
+
+
+def test_settings_grid_of_nothing(spark):
+    none = spark.createDataFrame([], "rank long, distance double")
+    rows = evaluate.settings_grid(none, [1, 2], [0.5]).collect()
+    assert [(r.expected, r.found, r.recall, r.mean_rank) for r in rows] == [(0, 0, None, None)] * 2
+
+
 def test_threshold_sweep(spark):
     rows = [(0.633, False), (0.797, False), (0.828, True), (0.91, True), (None, True)]
     decisions = spark.createDataFrame(rows, "distance double, abstain_expected boolean")
