@@ -1,11 +1,13 @@
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from quillgrid.operators import impact, ordering, retrieval
+from quillgrid.operators import nearest as nearest_module
 from quillgrid.operators.nearest import nearest
 from quillgrid.plans.retrieval import hybrid_queries
 
@@ -105,6 +107,60 @@ def test_nearest_of_nothing(spark):
     assert nearest(queries.withColumnRenamed("query_id", "item_id"), queries.limit(0), 3).count() == 0
 
 
+def structureless(count, width, seed):
+    return [(i, v) for i, v in enumerate(np.random.default_rng(seed).normal(size=(count, width)).round(3).tolist())]
+
+
+def test_rows_between_blocks_follow_the_queries(spark, monkeypatch):
+    """On vectors that cells cannot keep apart, a query is not answered once per cell."""
+    seen, top = [], nearest_module.top_per_group
+
+    def counted(df, group, order, n):
+        seen.append((group, df))
+        return top(df, group, order, n)
+
+    monkeypatch.setattr(nearest_module, "top_per_group", counted)
+    rows = structureless(1500, 16, 5)
+    items = spark.createDataFrame(rows, "item_id long, vector array<double>")
+    hits = nearest(items, items.withColumnRenamed("item_id", "query_id"), 4, True, broadcast_values=0)
+    found = {(r.query_id, r.item_id, r.distance, r.rank) for r in hits.where("query_id < 40").collect()}
+    assert found == brute_force(rows, rows[:40], 4, True)
+    assert [df.count() for group, df in seen if group == "query_id"] == [1500 * 4]
+
+
+@pytest.mark.parametrize("copies", [0, 300])
+def test_grid_is_exact(spark, copies):
+    rows = clustered(400, 7, copies)
+    items = spark.createDataFrame(rows, "item_id long, vector array<double>")
+    asks = items.where("item_id % 4 = 0").withColumnRenamed("item_id", "query_id")
+    hits = nearest_module._by_grid(items, asks, 6, True, rows=64)
+    ranked = ordering.top_per_group(hits, "query_id", [F.asc("distance"), F.asc("item_id")], 6)
+    assert {(r.query_id, r.item_id, r.distance, r.rank) for r in ranked.collect()} == brute_force(rows, rows[::4], 6, True)
+
+
+@pytest.mark.parametrize("make", [
+    lambda draw: np.repeat(draw.normal(size=(2, 6)), 1500, axis=0),  # copies
+    lambda draw: 30000 + draw.normal(size=(3000, 3)),
+    lambda draw: np.concatenate([draw.normal(size=(2999, 5)), [[1e12] * 5]]),
+    lambda draw: draw.normal(size=(3000, 4)) * 1e20,  # beyond single precision
+])
+def test_block_search_is_exact_in_little_memory(make):
+    vectors = make(np.random.default_rng(2))
+    ids = np.random.default_rng(3).permutation(len(vectors)).astype(np.int64)
+    search = nearest_module._kernel(5, True)[-1]
+    tracemalloc.start()
+    found = {q: [] for q in ids.tolist()}
+    for part in search(ids, vectors, [(ids, vectors)]):
+        for q, i, d in zip(*(p.tolist() for p in part)):
+            found[q].append((d, i))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    for q, v in list(zip(ids.tolist(), vectors))[::60]:
+        exact = np.floor(((vectors - v) ** 2).sum(1) * 1e6 + 0.5) / 1e6
+        assert found[q] == sorted((d, i) for d, i in zip(exact.tolist(), ids.tolist()) if i != q)[:5]
+    assert peak < 64 << 20  # a matrix of all pairs has 72 MB
+
+
 def test_populated_first(spark):
     rows = spark.createDataFrame([(1, 1, 0.1, True), (1, 2, 0.5, False), (1, 3, 0.4, False), (1, 4, 0.4, False)], "query_id long, item_id long, distance double, empty boolean")
     ranked = ordering.populated_first(rows, "query_id", 3, F.asc("distance")).orderBy("rank").collect()
