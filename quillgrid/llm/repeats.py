@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ordering import enumerate_rows
 from ..session import broadcast_if_small, written_table
-from .common import arrow_schema, in_tasks, ship_package
+from .common import SLICE, arrow_schema, in_groups, in_tasks, ship_package
 from .minhash import mixed
 
 GRAM = 16  # bytes of a trigger
@@ -36,7 +36,7 @@ BUCKET = 1 << 23  # bytes of text per bucket of triggers
 # A trigger with so many different phrases in one flush, or open ones in all, is spread over tasks.
 HOT_IN_FLUSH = 64
 HOT_IN_ALL = 10_000
-ENTRIES = 1 << 16  # phrases, or those of one trigger, that are sorted together
+ENTRIES = 1 << 14  # phrases, or those of one trigger, that are sorted together
 # What a flush knows of a phrase: nothing, that a smaller document has it, that it is one of very
 # many of its trigger; and a mark that such a trigger exists.
 NEW, KNOWN, CROWDED, CROWD = range(4)
@@ -235,7 +235,7 @@ def dictionary(entries: DataFrame) -> DataFrame:
         out = {"id": e["id"], "variant": e["variant"], "first": e["first"], "span": e["span"], "anchor": e["anchor"], "known": known, "trigger": trigger}
         return pa.Table.from_arrays([pa.array(out[f.name][keep], f.type, safe=False) for f in schema], schema=schema)
 
-    return entries.groupBy("bucket").applyInArrow(settle, "id long, variant long, first int, span int, anchor int, known boolean, trigger long")
+    return in_groups(entries.groupBy("bucket"), settle, "id long, variant long, first int, span int, anchor int, known boolean, trigger long")
 
 
 def squeezed(texts: DataFrame) -> DataFrame:
@@ -256,6 +256,10 @@ def unsqueezed(packed: bytes) -> bytes:
     return pa.Codec("zstd").decompress(packed[8:], size, asbytes=True) if size else b""
 
 
+def rows_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
+
+
 def open_phrases(texts: DataFrame, asked: DataFrame, length: int) -> DataFrame:
     """(trigger, id, variant, first, anchor, bytes) of the open phrases, read off their texts."""
     schema = arrow_schema("trigger long, id long, variant long, first int, anchor int, bytes binary")
@@ -264,12 +268,17 @@ def open_phrases(texts: DataFrame, asked: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
+            size = 0
             rows = zip(batch.column("id").to_pylist(), batch.column("variant").to_pylist(), batch.column("packed"), batch.column("asked"))
             for doc, variant, packed, wanted in rows:
                 whole = unsqueezed(packed.as_py())
                 for w in wanted.as_py():
                     out.append((w["trigger"], doc, variant, w["first"], w["anchor"], whole[w["first"]:w["first"] + w["span"] + length]))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(schema)], schema=schema)
+                    size += w["span"] + length
+                if size >= SLICE:
+                    yield rows_of(out, schema)
+                    out, size = [], 0
+            yield rows_of(out, schema)
 
     joined = squeezed(texts).join(lists, ["id", "variant"]).select("id", "variant", "packed", "asked")
     return in_tasks(joined, run, "trigger long, id long, variant long, first int, anchor int, bytes binary")
@@ -323,9 +332,9 @@ def repeated_strings(opened: DataFrame, length: int, parts: int) -> DataFrame:
     schema = arrow_schema("id long, variant long, first int, size int")
 
     def compare(table: pa.Table) -> pa.Table:
-        blobs = table["bytes"].combine_chunks().to_pylist()
-        sizes = np.array([len(b) for b in blobs], np.int64)
-        begins, data = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(blobs), np.uint8)
+        blobs = table["bytes"].combine_chunks()
+        offsets = np.frombuffer(blobs.buffers()[1], np.int32)[blobs.offset:blobs.offset + len(blobs) + 1].astype(np.int64)
+        begins, sizes, data = offsets[:-1], np.diff(offsets), np.frombuffer(blobs.buffers()[2] or b"", np.uint8)
         trigger, ids, variant, first, anchors = (table[c].to_numpy() for c in ("trigger", "id", "variant", "first", "anchor"))
         order = np.argsort(trigger, kind="stable")
         starts = np.flatnonzero(np.concatenate([[True], trigger[order][1:] != trigger[order][:-1]]))
@@ -346,7 +355,7 @@ def repeated_strings(opened: DataFrame, length: int, parts: int) -> DataFrame:
         return pa.Table.from_arrays([pa.array(np.concatenate(f) if f else [], s.type, safe=False) for f, s in zip(found, schema)], schema=schema)
 
     grouped = opened.withColumn("part", F.pmod(F.xxhash64("trigger"), F.lit(parts))).groupBy("part")
-    return grouped.applyInArrow(compare, "id long, variant long, first int, size int")
+    return in_groups(grouped, compare, "id long, variant long, first int, size int")
 
 
 def crowded_strings(opened: DataFrame, length: int) -> DataFrame:
@@ -382,6 +391,7 @@ def cut_texts(docs: DataFrame, ranges: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
+            size = 0
             for doc, packed, own in zip(batch.column("id").to_pylist(), batch.column("packed"), batch.column("ranges")):
                 whole, pieces, spans, at = unsqueezed(packed.as_py()), [], 0, -1
                 kept_from = 0
@@ -393,7 +403,11 @@ def cut_texts(docs: DataFrame, ranges: DataFrame) -> DataFrame:
                     kept_from = at
                 rest = b"".join([*pieces, whole[kept_from:]]) if spans else whole
                 out.append((doc, len(whole), len(whole) - len(rest), spans, hashlib.sha256(rest).hexdigest(), rest))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(schema)], schema=schema)
+                size += len(rest)
+                if size >= SLICE:
+                    yield rows_of(out, schema)
+                    out, size = [], 0
+            yield rows_of(out, schema)
 
     joined = squeezed(docs).join(lists, ["id", "variant"], "left").select("id", "packed", "ranges")
     return in_tasks(joined, run, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

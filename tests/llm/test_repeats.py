@@ -3,8 +3,11 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from quillgrid.llm import common, repeats
+from quillgrid.llm.common import SLICE
 from quillgrid.llm.repeats import repeated_passages, shared_bytes
 
 
@@ -113,3 +116,34 @@ def test_orders_of_phrases():
     ordered = [bytes(r) for r in rows[order]]
     assert ordered == sorted(map(bytes, rows))
     assert shared.tolist() == [-1] + [len(os.path.commonprefix([a, b])) for a, b in zip(ordered, ordered[1:])]
+
+
+def test_kept_texts_leave_in_bounded_parts(spark, monkeypatch):
+    """Texts that shrink to little in the shuffle are many megabytes again when they are cut."""
+    made = []
+
+    def held(df, function, schema):
+        made.append(function)
+        return spark.createDataFrame([], schema)
+
+    monkeypatch.setattr(repeats, "in_tasks", held)
+    docs = spark.createDataFrame([], "id long, variant long, text string")
+    ranges = spark.createDataFrame([], "id long, variant long, first int, size int")
+    repeats.cut_texts(docs, ranges)
+    pack, cut = made
+    texts = pa.RecordBatch.from_pydict({"id": list(range(24)), "variant": [0] * 24, "text": ["x" * (1 << 20)] * 24})
+    packed = next(pack([texts]))
+    whole = pa.array([[{"first": 0, "size": 1 << 19}]] * 24, pa.list_(pa.struct([("first", pa.int32()), ("size", pa.int32())])))
+    assert packed.nbytes < 1 << 16
+    parts = list(cut([pa.RecordBatch.from_arrays([packed["id"], packed["packed"], whole], names=["id", "packed", "ranges"])]))
+    assert sum(p.num_rows for p in parts) == 24
+    assert max(p.nbytes for p in parts) <= SLICE + (1 << 20)
+
+
+def test_groups_give_their_memory_back(spark, monkeypatch):
+    grouped, made = spark.range(1).groupBy("id"), []
+    monkeypatch.setattr(type(grouped), "applyInArrow", lambda self, function, schema: made.append(function))
+    freed = []
+    monkeypatch.setattr(common, "release_memory", lambda: freed.append(True))
+    common.in_groups(grouped, lambda table: table.slice(0, 1), "id long")
+    assert made[0](pa.table({"id": [1, 2]})).num_rows == 1 and freed == [True]
