@@ -27,7 +27,7 @@ VOCABULARY = CLASSES * MEMBERS
 PAD = VOCABULARY
 OFFSETS = (-2, -1, 1, 2)
 STEP = 1 << 14  # words per step
-BLOCK_CHARS, BLOCK_ROWS = 1 << 21, 20_000  # texts of together so many characters or rows, or one long text
+BLOCK_CHARS, BLOCK_ROWS = 1 << 24, 40_000  # texts of together so many characters or rows, or one long text
 BLOCK_SHAPE = "ids array<long>, sizes array<int>, tokens binary, words array<string>, times array<long>"
 SAMPLE_BYTES = 1 << 16  # longer texts do not serve for the start, so the sample is bounded
 SHAPES = (
@@ -66,9 +66,24 @@ class WindowNetwork:
         return np.tanh(x + self.bias)
 
     @staticmethod
-    def normalised(logits: np.ndarray) -> np.ndarray:
-        logits -= logits.max(axis=1, keepdims=True)
-        return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    def shares(h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+        """Probabilities, a column per row of ``h``: sums over the first axis are quick."""
+        out = weights.T @ h.T
+        out += bias[:, None]
+        out -= out.max(axis=0)
+        np.exp(out, out=out)
+        out /= out.sum(axis=0)
+        return out
+
+    @staticmethod
+    def logs_of(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Log probability of each row's own target."""
+        out = weights.T @ h.T
+        out += bias[:, None]
+        out -= out.max(axis=0)
+        own = out[target, np.arange(len(target))]
+        np.exp(out, out=out)
+        return own - np.log(out.sum(axis=0))
 
     def log_probabilities(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
         """log P(word | both sides) of the words at the places ``at``."""
@@ -77,13 +92,13 @@ class WindowNetwork:
             places = at[start:start + STEP]
             h, target = self.hidden(ids, places), ids[places]
             kind, member = target // MEMBERS, target % MEMBERS
-            value = self.normalised(h @ self.to_class + self.class_bias)[np.arange(len(places)), kind]
+            value = self.logs_of(h, self.to_class, self.class_bias, kind)
             order = np.argsort(kind.astype(np.uint8), kind="stable")
             edges = np.searchsorted(kind[order], np.arange(CLASSES + 1))
             for c in range(CLASSES):
                 rows = order[edges[c]:edges[c + 1]]
                 if len(rows):
-                    value[rows] += self.normalised(h[rows] @ self.to_member[c] + self.member_bias[c])[np.arange(len(rows)), member[rows]]
+                    value[rows] += self.logs_of(h[rows], self.to_member[c], self.member_bias[c], member[rows])
             out[start:start + STEP] = value
         return out
 
@@ -92,20 +107,20 @@ class WindowNetwork:
         slope = WindowNetwork(np.zeros(SIZE, np.float32))
         h, target = self.hidden(ids, places), ids[places]
         kind, member = target // MEMBERS, target % MEMBERS
-        error = -np.exp(self.normalised(h @ self.to_class + self.class_bias))
-        error[np.arange(len(places)), kind] += 1
-        slope.to_class[:], slope.class_bias[:] = h.T @ error, error.sum(axis=0)
-        back = error @ self.to_class.T
+        error = -self.shares(h, self.to_class, self.class_bias)
+        error[kind, np.arange(len(places))] += 1
+        slope.to_class[:], slope.class_bias[:] = (error @ h).T, error.sum(axis=1)
+        back = error.T @ self.to_class.T
         order = np.argsort(kind.astype(np.uint8), kind="stable")
         edges = np.searchsorted(kind[order], np.arange(CLASSES + 1))
         for c in range(CLASSES):
             rows = order[edges[c]:edges[c + 1]]
             if len(rows):
                 part = h[rows]
-                error = -np.exp(self.normalised(part @ self.to_member[c] + self.member_bias[c]))
-                error[np.arange(len(rows)), member[rows]] += 1
-                slope.to_member[c], slope.member_bias[c] = part.T @ error, error.sum(axis=0)
-                back[rows] += error @ self.to_member[c].T
+                error = -self.shares(part, self.to_member[c], self.member_bias[c])
+                error[member[rows], np.arange(len(rows))] += 1
+                slope.to_member[c], slope.member_bias[c] = (error @ part).T, error.sum(axis=1)
+                back[rows] += error.T @ self.to_member[c].T
         back *= 1 - h * h
         slope.bias[:] = back.sum(axis=0)
         for k, offset in enumerate(OFFSETS):

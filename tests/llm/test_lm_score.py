@@ -141,3 +141,20 @@ def test_plain_loop_over_words(spark, documents):
             for logits, pick in ((h @ net.to_class + net.class_bias, kind), (h @ net.to_member[kind] + net.member_bias[kind], member)):
                 total += float(logits[pick]) - math.log(sum(math.exp(float(v)) for v in logits))
         assert abs(total - rows[r.doc_id].log_likelihood) < 1e-3 * max(1.0, abs(total))
+
+
+def test_a_word_of_many_texts_is_sent_once(make_docs):
+    words = [f"w{k}" for k in range(100)]
+    docs = make_docs([(i, (" ".join(words) + " ") * 3800) for i in range(4)], 1)  # more than 1 MB each
+    blocks = word_blocks(narrow(docs, "doc_id", "text"))
+    assert blocks.selectExpr("explode(words) AS w").count() == 100
+
+
+def test_chosen_logs_are_the_shares_logs():
+    draw = np.random.default_rng(4)
+    h, weights, bias = (draw.normal(size=s).astype(np.float32) * 3 for s in ((50, 16), (16, 32), (32,)))
+    target = draw.integers(0, 32, 50)
+    logits = (h @ weights + bias).astype(np.float64)
+    plain = np.exp(logits) / np.exp(logits).sum(axis=1, keepdims=True)
+    assert np.allclose(WindowNetwork.shares(h, weights, bias).T, plain, atol=1e-5)
+    assert np.allclose(WindowNetwork.logs_of(h, weights, bias, target), np.log(plain[np.arange(50), target]), atol=1e-4)
