@@ -5,8 +5,9 @@ its prefixes is: it is the one piece that ends there, found by an automaton, whi
 token of the prefix before it. Two tokens fit if merging their characters alone gives the two back.
 The ids are then read off backwards.
 
-Texts are cut where no piece can reach across, i.e. before a run of blanks, and the ids of a unit
-are remembered up to a bound.
+Texts are cut where no piece can reach across: before a run of blanks, and between characters that
+no chain of pieces connects, such as letters and punctuation. The ids of a unit are remembered up
+to a bound. The mark of a blank and a blank are the same to the model; here both are a blank.
 """
 
 from __future__ import annotations
@@ -15,17 +16,72 @@ import hashlib
 import re
 from collections.abc import Iterable, Iterator
 
-import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import in_tasks, narrow
 
 BLANK = "▁"
-UNIT = re.compile(f"{BLANK}*[^{BLANK}]*")
-# Bounds of what a worker remembers: some 30 MB of units and as much of pairs.
+# Groups of characters with a pattern of their own; the others are one group.
+GROUPS = 8
+# Bounds of what a worker remembers: some 30 MB of units, in two halves, as much of pairs, and steps of the automaton.
 MEMO_UNITS = 150_000
+MEMO_LENGTH = 64
 MEMO_PAIRS = 500_000
+MEMO_STEPS = 200_000
+
+
+class Token(dict):
+    """A piece, or a character without one; it maps the numbers of pieces to whether they may follow it."""
+
+    __slots__ = ("codec", "text", "size", "ids")
+
+    def __init__(self, codec: Codec, text: str, ids: list[int]):
+        self.codec, self.text, self.size = codec, text, len(text)
+        self.ids = b"".join(i.to_bytes(4, "little") for i in ids)
+
+    def __missing__(self, number: int) -> bool:
+        return self.codec.fit(self, number)
+
+
+class Start(dict):
+    """What stands before a unit: every piece may follow it."""
+
+    def __missing__(self, number: int) -> bool:
+        return True
+
+
+class Node(dict):
+    """The longest end of a prefix that begins a piece: next nodes by character, and the pieces that end here."""
+
+    __slots__ = ("codec", "name", "ends")
+
+    def __init__(self, codec: Codec, name: str):
+        self.codec, self.name = codec, name
+        self.ends = tuple(codec.entry(end) for i in range(len(name)) if (end := name[i:]) in codec.entries)  # the longest first
+
+    def __missing__(self, char: str) -> Node:
+        return self.codec.step(self, char)
+
+
+class Units(dict):
+    """Ids of the units seen lately; when a half is full, the older half goes."""
+
+    __slots__ = ("codec", "older")
+
+    def __init__(self, codec: Codec):
+        self.codec, self.older = codec, {}
+
+    def __missing__(self, unit: str) -> bytes:
+        ids = self.older.get(unit)
+        if ids is None:
+            ids = self.codec.unit_ids(unit)
+        if len(unit) <= MEMO_LENGTH:
+            if len(self) >= MEMO_UNITS // 2:
+                self.older = dict(self)
+                self.clear()
+            self[unit] = ids
+        return ids
 
 
 class Codec:
@@ -41,7 +97,7 @@ class Codec:
         special = {i for i in range(size) if model.is_control(i) or model.is_unknown(i)}
         in_bytes = {i for i in range(size) if model.is_byte(i)}
         self.byte_ids = {int(self.pieces[i][3:5], 16): i for i in in_bytes}
-        self.ids = {p: i for i, p in enumerate(self.pieces) if i not in special and i not in in_bytes}
+        self.ids = {p.replace(BLANK, " "): i for i, p in enumerate(self.pieces) if i not in special and i not in in_bytes}
         self.scores = {p: model.get_score(i) for p, i in self.ids.items()}
         # pieces as bytes; control tokens decode to nothing
         self.raw = [
@@ -51,14 +107,28 @@ class Codec:
         if special - {self.begin, self.end}:
             self.raw[model.unk_id()] = " ⁇ ".encode()
         # a piece that merging never makes is never used
-        self.reachable = {piece for piece in self.ids if self.merged(list(piece)) == [piece]}
-        self.automaton = ahocorasick.Automaton()
-        for piece in self.reachable:
-            self.automaton.add_word(piece, piece)
-        self.automaton.make_automaton()
-        self.fits: dict[str, dict[str, bool]] = {}
-        self.known_fits = 0
-        self.units: dict[str, bytes] = {}
+        self.entries: dict[str, tuple[int, int, Token] | None] = {p: None for p in self.ids if self.merged(list(p)) == [p]}
+        self.nodes: dict[str, Node | None] = {"": None} | {p[:i]: None for p in self.entries for i in range(1, len(p) + 1)}
+        self.root, self.start = self.node(""), Start()
+        self.known_fits = self.known_steps = 0
+        self.units = Units(self)
+        self.unit = re.compile(self.unit_pattern())
+
+    def unit_pattern(self) -> str:
+        """Blanks and the characters of one group after them; characters next to each other in a piece are in one group."""
+        group_of: dict[str, set[str]] = {}
+        for piece in self.ids:
+            body = piece.lstrip(" ")
+            if " " in body:
+                raise ValueError(f"a piece with a blank behind another character: {piece!r}")
+            if len(body) > 1:
+                first, *others = sorted({id(g): g for g in (group_of.get(c, {c}) for c in body)}.values(), key=len, reverse=True)
+                first.update(*others)
+                for char in set().union(body, *others):
+                    group_of[char] = first
+        groups = sorted({id(g): g for g in group_of.values()}.values(), key=len, reverse=True)[:GROUPS]
+        inside = [re.escape("".join(sorted(g))) for g in groups]
+        return f" *(?:{''.join(f'[{g}]+|' for g in inside)}[^ {''.join(inside)}]+)| +"
 
     def merged(self, symbols: list[str]) -> list[str]:
         """The definition: join the best-scored neighbours, leftmost first, until none is a piece."""
@@ -74,66 +144,72 @@ class Codec:
             symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
         return symbols
 
-    def fit(self, left: str, right: str) -> bool:
-        """Whether ``left`` and ``right`` stay side by side when their characters are merged."""
-        known = self.fits.get(left, {}).get(right)
-        if known is None:
-            if self.known_fits >= MEMO_PAIRS:
-                self.fits.clear()
-                self.known_fits = 0
-            known = self.fits.setdefault(left, {})[right] = self.merged(list(left + right)) == [left, right]
-            self.known_fits += 1
+    def fit(self, left: Token, number: int) -> bool:
+        """Whether ``left`` and a piece stay side by side when their characters are merged."""
+        if self.known_fits >= MEMO_PAIRS:
+            for entry in self.entries.values():
+                if entry:
+                    entry[2].clear()
+            self.known_fits = 0
+        right = self.pieces[number].replace(BLANK, " ")
+        known = left[number] = self.merged(list(left.text + right)) == [left.text, right]
+        self.known_fits += 1
         return known
 
-    def tokens(self, unit: str) -> list[str]:
-        """Pieces of a unit; a character without a piece stands for itself."""
-        if unit in self.reachable:
-            return [unit]
-        size, done = len(unit), 0
-        last: list[str | None] = [None] * (size + 1)
-        fits, fit, none = self.fits.get, self.fit, {}
-        for end, piece in self.automaton.iter(unit):  # by end, the longest first
-            end += 1
-            if last[end] is not None:
-                continue
-            while done < end - 1:  # no piece holds a character that is still without a token
-                done += 1
-                if last[done] is None:
-                    last[done] = unit[done - 1]
-            start = end - len(piece)
-            if not start:
-                last[end] = piece
-                continue
-            known = fits(last[start], none).get(piece)
-            if known or known is None and fit(last[start], piece):
-                last[end] = piece
-        for end in range(done + 1, size + 1):
-            if last[end] is None:
-                last[end] = unit[end - 1]
-        out = []
-        while size:
-            out.append(last[size])
-            size -= len(last[size])
-        return out[::-1]
+    def entry(self, piece: str) -> tuple[int, int, Token]:
+        """How far back a piece begins, its number and its token."""
+        found = self.entries[piece]
+        if found is None:
+            number = self.ids[piece]
+            found = self.entries[piece] = (-len(piece), number, Token(self, piece, [number]))
+        return found
+
+    def node(self, name: str) -> Node:
+        found = self.nodes[name]
+        if found is None:
+            found = self.nodes[name] = Node(self, name)
+        return found
+
+    def step(self, node: Node, char: str) -> Node:
+        """The node after a character."""
+        if self.known_steps >= MEMO_STEPS:
+            for known in self.nodes.values():
+                if known is not None:
+                    known.clear()
+            self.known_steps = 0
+        name = node.name + char
+        while name not in self.nodes:
+            name = name[1:]
+        after = node[char] = self.node(name)
+        self.known_steps += 1
+        return after
 
     def unit_ids(self, unit: str) -> bytes:
-        known = self.units.get(unit)
-        if known is None:
-            if len(self.units) >= MEMO_UNITS:
-                self.units.clear()
-            ids: list[int] = []
-            for token in self.tokens(unit):
-                number = self.ids.get(token)
-                ids += [number] if number is not None else [self.byte_ids[b] for b in token.encode("utf-8", "replace")]
-            known = self.units[unit] = b"".join(i.to_bytes(4, "little") for i in ids)
-        return known
+        """Ids of a unit; a character without a piece stands for itself, as bytes."""
+        node = self.root
+        last: list[dict] = [self.start]
+        append = last.append
+        for char in unit:
+            node = node[char]
+            for back, number, token in node.ends:
+                if last[back][number]:
+                    append(token)
+                    break
+            else:
+                append(Token(self, char, [self.byte_ids[b] for b in char.replace(" ", BLANK).encode("utf-8", "replace")]))
+        out, end = [], len(unit)
+        while end:
+            token = last[end]
+            out.append(token.ids)
+            end -= token.size
+        out.reverse()
+        return b"".join(out)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit numbers, begin and end included."""
         whole = b""
         if text:
-            marked = BLANK + text.replace(" ", BLANK)
-            whole = b"".join(map(self.unit_ids, UNIT.findall(marked)))
+            whole = b"".join(map(self.units.__getitem__, self.unit.findall(" " + text.replace(BLANK, " "))))
         return self.begin.to_bytes(4, "little") + whole + self.end.to_bytes(4, "little")
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -142,7 +218,7 @@ class Codec:
         A byte that is not part of a valid character becomes one replacement character.
         """
         raw = self.raw
-        whole = b"".join([raw[i] for i in ids])
+        whole = b"".join(map(raw.__getitem__, ids))
         if whole[:1] == b" " and self.pieces[next(i for i in ids if raw[i])][:1] == BLANK:
             whole = whole[1:]
         try:

@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+from quillgrid.llm import sentencepiece_codec
 from quillgrid.llm.queries import piece_model
 from quillgrid.llm.sentencepiece_codec import Codec, encode, encode_digests
 
@@ -39,6 +40,37 @@ def test_runs_longer_than_any_piece(library, coder):
         assert ids_of(coder, text) == library.encode(text, add_bos=True, add_eos=True)
 
 
+def test_words_and_marks_are_remembered_apart(library):
+    coder = Codec(piece_model())
+    words = [f"{a}erendes{b}" for a in "abcdefghij" for b in "klmnopqrst"]
+    text = " ".join(word + mark for word in words for mark in [",", ".", "!", "?", ";", ":", "...", ".\n", "\n\n", ")."])
+    assert ids_of(coder, text) == library.encode(text, add_bos=True, add_eos=True)
+    assert len(coder.units) <= len(words) + 20
+
+
+def test_frequent_units_outlive_a_full_memory(library, monkeypatch):
+    monkeypatch.setattr(sentencepiece_codec, "MEMO_UNITS", 100)
+    coder, asked = Codec(piece_model()), []
+    compute = coder.unit_ids
+    monkeypatch.setattr(coder, "unit_ids", lambda unit: asked.append(unit) or compute(unit))
+    for k in range(100):
+        text = " ".join(["the"] + [f"{'abcdefghij'[k // 10]}{'klmnopqrst'[k % 10]}{'uvwxyzabcdefghijklmn'[i]}erende" for i in range(20)])
+        assert ids_of(coder, text) == library.encode(text, add_bos=True, add_eos=True)
+    assert asked.count(" the") == 1
+
+
+def test_small_memories_and_mixed_scripts(library, monkeypatch):
+    for name, bound in [("MEMO_UNITS", 6), ("MEMO_LENGTH", 5), ("MEMO_PAIRS", 9), ("MEMO_STEPS", 7)]:
+        monkeypatch.setattr(sentencepiece_codec, name, bound)
+    coder = Codec(piece_model())
+    random.seed(7)
+    parts = ["the", "ing", "Über", "это", "ский", "ال", "据数", "取获", "一个", "══", "──", "12", "7", ".", "!!", "\n", "\t", " ", "  ", "▁", "€", "😀", "İ", "\r", "]", "^", "\\", "-"]
+    for _ in range(3000):
+        text = "".join(random.choice(parts) for _ in range(random.randint(1, 15)))
+        assert ids_of(coder, text) == library.encode(text, add_bos=True, add_eos=True), text
+    assert len(coder.units) <= 3 and len(coder.units.older) <= 3 and max(map(len, coder.units)) <= 5
+
+
 def test_decoding_of_any_ids(library, coder):
     random.seed(6)
     size = library.get_piece_size()
