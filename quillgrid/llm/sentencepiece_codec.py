@@ -24,8 +24,10 @@ from .common import in_tasks, narrow
 BLANK = "▁"
 # Groups of characters with a pattern of their own; the others are one group.
 GROUPS = 8
-# Bounds of what a worker remembers: some 30 MB of units, in two halves, as much of pairs, and steps of the automaton.
-MEMO_UNITS = 150_000
+# Bytes of texts encoded at a time: their ids and decoded texts are held beside them.
+SLICE = 1 << 20
+# Bounds of what a worker remembers: some 13 MB of units, in two halves, twice that of pairs, and steps of the automaton.
+MEMO_UNITS = 60_000
 MEMO_LENGTH = 64
 MEMO_PAIRS = 500_000
 MEMO_STEPS = 200_000
@@ -92,16 +94,16 @@ class Codec:
 
         model = sentencepiece.SentencePieceProcessor(model_file=model_file)
         size = model.get_piece_size()
-        self.pieces = [model.id_to_piece(i) for i in range(size)]
+        self.pieces = [model.id_to_piece(i).replace(BLANK, " ") for i in range(size)]
         self.begin, self.end = model.bos_id(), model.eos_id()
         special = {i for i in range(size) if model.is_control(i) or model.is_unknown(i)}
         in_bytes = {i for i in range(size) if model.is_byte(i)}
         self.byte_ids = {int(self.pieces[i][3:5], 16): i for i in in_bytes}
-        self.ids = {p.replace(BLANK, " "): i for i, p in enumerate(self.pieces) if i not in special and i not in in_bytes}
+        self.ids = {p: i for i, p in enumerate(self.pieces) if i not in special and i not in in_bytes}
         self.scores = {p: model.get_score(i) for p, i in self.ids.items()}
         # pieces as bytes; control tokens decode to nothing
         self.raw = [
-            b"" if i in special else bytes([int(p[3:5], 16)]) if i in in_bytes else p.replace(BLANK, " ").encode()
+            b"" if i in special else bytes([int(p[3:5], 16)]) if i in in_bytes else p.encode()
             for i, p in enumerate(self.pieces)
         ]
         if special - {self.begin, self.end}:
@@ -151,7 +153,7 @@ class Codec:
                 if entry:
                     entry[2].clear()
             self.known_fits = 0
-        right = self.pieces[number].replace(BLANK, " ")
+        right = self.pieces[number]
         known = left[number] = self.merged(list(left.text + right)) == [left.text, right]
         self.known_fits += 1
         return known
@@ -219,7 +221,7 @@ class Codec:
         """
         raw = self.raw
         whole = b"".join(map(raw.__getitem__, ids))
-        if whole[:1] == b" " and self.pieces[next(i for i in ids if raw[i])][:1] == BLANK:
+        if whole[:1] == b" " and self.pieces[next(i for i in ids if raw[i])][:1] == " ":
             whole = whole[1:]
         try:
             return whole.decode("utf-8")
@@ -264,8 +266,9 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
             tokens = [coder.encode(t.as_py()) for t in batch.column("text")]
             decoded = [coder.decode(memoryview(t).cast("I")) for t in tokens]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(tokens, pa.binary()), pa.array(decoded, pa.string())], schema=schema)
+            del tokens, decoded
 
-    return in_tasks(narrow(docs, id_col, text_col), run, "id long, tokens binary, decoded string")
+    return in_tasks(narrow(docs, id_col, text_col), run, "id long, tokens binary, decoded string", SLICE)
 
 
 def encode_digests(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -283,4 +286,4 @@ def encode_digests(docs: DataFrame, model_file: str, id_col: str = "doc_id", tex
             columns = [pa.array([r[k] for r in rows], schema.field(k + 1).type) for k in range(3)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], schema=schema)
 
-    return in_tasks(narrow(docs, id_col, text_col), run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return in_tasks(narrow(docs, id_col, text_col), run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string", SLICE)
